@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators import customer, inventory, market, operations
+from estatelens.operators import customer, inventory, market, operations, quality
 
 Job = Callable[..., DataFrame]
 
@@ -38,6 +38,13 @@ ANALYTICS: dict[str, Job] = {
     "time_on_market": market.time_on_market,
 }
 
+# Data-quality reports: declared integrity rules over all 14 tables.
+QUALITY: dict[str, Job] = {
+    "quality_row_rules": quality.row_rule_report,
+    "quality_key_rules": quality.key_rule_report,
+    "quality_foreign_keys": quality.foreign_key_report,
+}
+
 # Results that are not rounded by the query itself; compared at 6 dp.
 UNROUNDED = {"sold_with_price_reduction_pct": 6}
 
