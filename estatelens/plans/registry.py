@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators import customer, inventory, market, operations, quality
+from estatelens.operators import customer, inventory, market, operations, quality, referential
 
 Job = Callable[..., DataFrame]
 
@@ -45,6 +45,13 @@ QUALITY: dict[str, Job] = {
     "quality_foreign_keys": quality.foreign_key_report,
 }
 
+# Referential actions (ON DELETE CASCADE / SET NULL, ON UPDATE CASCADE).
+REFERENTIAL: dict[str, Job] = {
+    "withdrawn_listing_purge": referential.withdrawn_listing_purge,
+    "renter_customer_purge": referential.renter_customer_purge,
+    "agent_renumbering": referential.agent_renumbering,
+}
+
 # Results that are not rounded by the query itself; compared at 6 dp.
 UNROUNDED = {"sold_with_price_reduction_pct": 6}
 
