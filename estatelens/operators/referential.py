@@ -63,7 +63,8 @@ def delete_cascade(t: Tables, table: str, keys: DataFrame, materialize: bool = T
                 sources.append(df.join(parent_keys, fk.column, "left_semi").select(tb.primary_key))
         if sources and tb.name != table:
             doomed = reduce(DataFrame.union, sources).distinct()
-            res.deleted[tb.name] = _materialize(doomed, materialize)
+            # only a key set that later levels read is worth a lineage cut
+            res.deleted[tb.name] = _materialize(doomed, materialize and bool(children_of(tb.name)))
         if tb.name in res.deleted:
             df = df.join(res.deleted[tb.name], tb.primary_key, "left_anti")
         for fk in tb.foreign_keys:

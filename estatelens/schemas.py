@@ -399,8 +399,12 @@ def children_of(parent: str) -> list[tuple[Table, ForeignKey]]:
 
 
 def conform(df, table: str | Table):
-    """Select and cast ``df``'s columns to the declared schema of ``table``."""
+    """Select and cast ``df``'s columns to the declared schema of ``table``
+    (returns ``df`` itself when names, order and types already match)."""
     from pyspark.sql import functions as F
 
     t = TABLES[table] if isinstance(table, str) else table
+    have = [(f.name, f.dataType) for f in df.schema.fields]
+    if have == [(c.name, c.dtype) for c in t.columns]:
+        return df
     return df.select([F.col(c.name).cast(c.dtype).alias(c.name) for c in t.columns])

@@ -13,6 +13,7 @@ scans the columns of) the driver tables behind those three.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -84,7 +85,7 @@ class DriverTables(Mapping[str, DataFrame]):
         r = self.src("region")
         k = F.col("r_regionkey")
         return r.select(
-            (k + 1).alias("office_id"),
+            (k + 1).cast("bigint").alias("office_id"),
             F.concat(F.lit("Office "), "r_name").alias("office_name"),
             F.concat(F.lit("1"), txt(k), F.lit(" Main St")).alias("address"),
             F.col("r_name").alias("city"),
@@ -97,10 +98,10 @@ class DriverTables(Mapping[str, DataFrame]):
         n = self.src("nation")
         k = F.col("n_nationkey")
         return n.select(
-            (k + 1).alias("team_id"),
+            (k + 1).cast("bigint").alias("team_id"),
             F.concat("n_name", F.lit(" Group")).alias("team_name"),
             F.lit(None).cast("bigint").alias("team_lead_id"),
-            (F.col("n_regionkey") + 1).alias("office_id"),
+            (F.col("n_regionkey") + 1).cast("bigint").alias("office_id"),
             plus_days("2019-02-01", k * 60).alias("established_date"),
             cycle(k, _STATES).alias("region"),
         )
@@ -115,8 +116,8 @@ class DriverTables(Mapping[str, DataFrame]):
         k = F.col("s_suppkey")
         return s.select(
             (k + 1).alias("agent_id"),
-            (F.col("n_regionkey") + 1).alias("office_id"),
-            (F.col("s_nationkey") + 1).alias("team_id"),
+            (F.col("n_regionkey") + 1).cast("bigint").alias("office_id"),
+            (F.col("s_nationkey") + 1).cast("bigint").alias("team_id"),
             F.concat(F.lit("First"), txt(k)).alias("first_name"),
             F.col("s_name").alias("last_name"),
             F.concat(F.lit("agent"), txt(k), F.lit("@example.com")).alias("email"),
@@ -341,5 +342,17 @@ class DriverTables(Mapping[str, DataFrame]):
         )
 
 
+_SESSIONS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DriverTables]]" = weakref.WeakKeyDictionary()
+
+
 def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    return DriverTables(spark, sf_dir)
+    """The (lazily built, reusable) derived tables of one driver directory.
+
+    DataFrames are immutable plans, so one set per session and directory is
+    shared by every query; only plan construction is saved - each query
+    still scans the files when it runs."""
+    per_session = _SESSIONS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = DriverTables(spark, key)
+    return per_session[key]
