@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,9 +71,25 @@ def listing_price_span(history: DataFrame) -> DataFrame:
     Order is by change_date with NULL dates latest (PostgreSQL ASC/DESC),
     ties broken by price_history_id.  ``min_by``/``max_by`` replace two
     sorted windows with one partially aggregated hash aggregate.
+
+    The ordering (date is NULL, date, id) is packed into one DECIMAL(38,0)
+    - NULL flag * 10^37 + epoch microseconds * 10^20 + id - so the
+    aggregation buffer is fixed-width and Spark can hash-aggregate instead
+    of sorting the whole history table.  |micros| < 10^16 and |id| < 10^19
+    keep the three fields from overlapping.
     """
-    key = F.struct(
-        F.col("change_date").isNull(), F.col("change_date"), F.col("price_history_id")
+    ts = F.col("change_date")
+    # microseconds since 1970-01-01 from the wall-clock fields: no time-zone
+    # conversion, so the order is the TIMESTAMP WITHOUT TIME ZONE order
+    micros = (
+        F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400_000_000
+        + (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000
+        + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    )
+    key = (
+        F.when(ts.isNull(), 1).otherwise(0).cast("decimal(38,0)") * F.lit(Decimal(10) ** 37)
+        + F.coalesce(micros, F.lit(0)).cast("decimal(38,0)") * F.lit(Decimal(10) ** 20)
+        + F.col("price_history_id").cast("decimal(38,0)")
     )
     return history.groupBy("listing_id").agg(
         F.min_by("old_price", key).alias("first_price"),
