@@ -16,3 +16,4 @@ from estatelens.functions.pg import (  # noqa: F401
     pg_round,
     ratio,
 )
+from estatelens.functions.text import clean_phone, truncate  # noqa: F401,E402

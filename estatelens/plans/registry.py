@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators import customer, inventory, market, operations, quality, referential
+from estatelens.operators import (
+    building_blocks,
+    customer,
+    inventory,
+    market,
+    operations,
+    quality,
+    referential,
+)
 
 Job = Callable[..., DataFrame]
 
@@ -52,6 +60,14 @@ REFERENTIAL: dict[str, Job] = {
     "agent_renumbering": referential.agent_renumbering,
 }
 
+# Row-level checks of the semantic building blocks (windows, dates, casts).
+BUILDING_BLOCKS: dict[str, Job] = {
+    "listing_first_last_price": building_blocks.listing_first_last_price,
+    "listing_days_on_market": building_blocks.listing_days_on_market,
+    "interaction_days_to_close": building_blocks.interaction_days_to_close,
+    "bedroom_rounding_counts": building_blocks.bedroom_rounding_counts,
+}
+
 # Results that are not rounded by the query itself; compared at 6 dp.
 UNROUNDED = {"sold_with_price_reduction_pct": 6}
 

@@ -114,16 +114,22 @@ def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
     return good.select(*table.column_names), bad
 
 
-def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: int) -> None:
-    """Write one load batch of ``table`` (idempotent per batch number)."""
+def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: int,
+                replace_table: bool = False) -> None:
+    """Write one load batch of ``table``.
+
+    Normally only the batch's own partition is replaced (idempotent per
+    batch number); ``replace_table`` drops every earlier batch first - the
+    full rebuild of a DROP TABLE + CREATE + INSERT."""
+    mode = "static" if replace_table else "dynamic"
     keys = SORT_KEYS.get(table)
     out = good.withColumn(BATCH_COL, F.lit(batch).cast("long"))
     if keys:
         out = out.sortWithinPartitions(*keys)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
         .partitionBy(BATCH_COL).parquet(table_path(root, table)))
     (bad.withColumn(BATCH_COL, F.lit(batch).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", mode)
         .partitionBy(BATCH_COL).parquet(rejected_path(root, table)))
 
 
@@ -148,7 +154,7 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
         if append:
             parents[t.name] = read_table(spark, root, t.name, exclude_batch=batch)
         good, bad = check_rows(tables[t.name], t, parents)
-        write_batch(good, bad, root, t.name, batch)
+        write_batch(good, bad, root, t.name, batch, replace_table=not append)
         stored[t.name] = read_table(spark, root, t.name)
         rejected[t.name] = read_rejected(spark, root, t.name).where(F.col(BATCH_COL) == batch).count()
     return rejected

@@ -91,3 +91,10 @@ def test_null_order_is_postgres(spark):
     df = spark.createDataFrame([(1,), (None,), (2,)], "v int")
     assert [r.v for r in df.orderBy(desc("v")).collect()] == [None, 2, 1]
     assert [r.v for r in df.orderBy(asc("v")).collect()] == [1, 2, None]
+
+
+def test_clean_phone_strips_and_truncates(spark):
+    from estatelens.functions import clean_phone
+
+    df = spark.createDataFrame([("+1 (212) 555-01.99x123456789",)], "p string")
+    assert df.select(clean_phone("p").alias("x")).first().x == "+1(212)555-019912345"

@@ -68,3 +68,15 @@ def test_streaming_checked_append(spark, tmp_path):
     assert stored.count() == len(ids) - 1
     assert stored.where(F.col("offer_id") == ids[-1]).count() == 0
     assert raw_schema("offers")["offer_id"].nullable
+
+
+def test_full_rebuild_drops_earlier_batches(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    gen = generate(spark, scale=1.0, seed=9)
+    catalog.load_tables(spark, gen, root)
+    extra = gen["customers"].withColumn("customer_id", F.col("customer_id") + 10_000) \
+        .withColumn("email", F.concat(F.lit("x"), F.col("email")))
+    catalog.load_tables(spark, {"customers": extra}, root, batch=1, append=True)
+    assert catalog.read_table(spark, root, "customers").count() == 2 * gen["customers"].count()
+    catalog.load_tables(spark, {"customers": gen["customers"]}, root)  # rebuild
+    assert catalog.read_table(spark, root, "customers").count() == gen["customers"].count()
