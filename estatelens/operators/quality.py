@@ -193,7 +193,7 @@ def violations(t: Tables, table: str) -> DataFrame:
 def apply_defaults(df: DataFrame, table: str | Table, load_ts=None) -> DataFrame:
     """Fill DEFAULT now()/CURRENT_DATE columns that arrive NULL or missing."""
     t = TABLES[table] if isinstance(table, str) else table
-    now = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
+    now = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
     today = now.cast("date")
     for c in t.columns:
         if c.default is None:

@@ -194,7 +194,7 @@ class DriverTables(Mapping[str, DataFrame]):
             F.when(o % 5 < 2, F.date_add(listing_date, (o % 150).cast("int"))).alias(
                 "close_date"
             ),
-            F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz").alias("last_updated"),
+            F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("last_updated"),
         ]
 
     def _listings(self) -> DataFrame:

@@ -131,3 +131,22 @@ def test_defaults_fill_now_and_today(spark):
     df = spark.createDataFrame([(1, None)], "customer_id long, created_date date")
     out = quality.apply_defaults(df, "customers", load_ts="2024-02-01 10:00:00").first()
     assert str(out.created_date) == "2024-02-01"
+
+
+def test_jdbc_read_is_range_partitioned_on_the_key():
+    from estatelens.sources.jdbc import bounds_query, partitioned_read_options
+
+    assert bounds_query("listings") == "(SELECT MIN(listing_id) AS lo, MAX(listing_id) AS hi FROM listings) AS b"
+    o = partitioned_read_options("listings", 1, 1000, 16)
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == (
+        "listing_id", "1", "1001", "16")
+
+
+def test_violation_rows_name_rule_and_key(spark):
+    t = tables(spark,
+               offices=[dict(office_id=1, office_name="o", address="a", city="c", state="NY", zip_code="1")],
+               teams=[dict(team_id=1, team_name="t", office_id=1), dict(team_id=2, team_name=None, office_id=7),
+                      dict(team_id=2, team_name="t", office_id=1)])
+    got = sorted((r.rule_id, r.key) for r in quality.violations(t, "teams").collect())
+    assert got == [("foreign_key:office_id->offices", 2), ("not_null:team_name", 2),
+                   ("primary_key:team_id", 2), ("primary_key:team_id", 2)]
