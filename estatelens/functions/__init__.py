@@ -10,6 +10,7 @@ from estatelens.functions.pg import (  # noqa: F401
     desc,
     elapsed_days,
     int_mean,
+    mean_of_parts,
     months_before,
     pct_change,
     pg_int,

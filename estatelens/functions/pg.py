@@ -80,6 +80,14 @@ def int_mean(x: ColumnOrName) -> Column:
     return F.sum(c.cast("decimal(20,0)")) / F.count(c)
 
 
+def mean_of_parts(total: ColumnOrName, count: ColumnOrName, scale: int = 2) -> Column:
+    """AVG rebuilt from partial sums and counts (after aggregating below a
+    join).  Summing sums widens the decimal so far that Spark would cut the
+    quotient to 6 fractional digits; casting the total to decimal(28,scale)
+    first keeps at least 10."""
+    return _c(total).cast(f"decimal(28,{scale})") / _c(count).cast("decimal(20,0)")
+
+
 def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     """NUMERIC division that keeps 12 fractional digits whatever the operand
     scales are.  (Spark sizes a decimal quotient from the operand types and

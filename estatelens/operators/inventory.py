@@ -8,30 +8,45 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.functions import asc, count_if, count_pct, dec_mean, desc, pct_change, pg_round
+from estatelens.functions import (
+    asc,
+    count_if,
+    count_pct,
+    desc,
+    mean_of_parts,
+    pct_change,
+    pg_round,
+)
 
 Tables = Mapping[str, DataFrame]
 
 
 def active_inventory_ppsf(t: Tables, as_of=None) -> DataFrame:
     """Active listings per (listing type, neighborhood name, city): distinct
-    properties and the mean listing price per square foot (2 dp)."""
-    listings = t["listings"].where(F.col("listing_status") == "Active").select(
-        "property_id", "listing_type", "listing_price"
+    properties and the mean listing price per square foot (2 dp).
+
+    Listings are first summed per (property, listing type): sqft is a
+    property attribute, so sum(price / sqft) over a property's listings is
+    sum(price) / sqft, and the joins carry one row per property and type."""
+    per_property = (
+        t["listings"]
+        .where(F.col("listing_status") == "Active")
+        .groupBy("property_id", "listing_type")
+        .agg(F.sum("listing_price").alias("price_sum"), F.count("listing_price").alias("price_n"))
     )
     props = t["properties"].where(F.col("sqft").isNotNull()).select(
         "property_id", "neighborhood_id", "sqft"
     )
     nb = t["neighborhoods"].select("neighborhood_id", "neighborhood_name", "city")
     return (
-        listings.join(props, "property_id")
+        per_property.join(props, "property_id")
         .join(nb, "neighborhood_id")
         .groupBy("listing_type", "neighborhood_name", "city")
         .agg(
-            F.count_distinct("property_id").alias("property_count"),
-            pg_round(dec_mean(F.col("listing_price") / F.col("sqft")), 2).alias(
-                "avg_price_per_sqft"
-            ),
+            F.count("property_id").alias("property_count"),
+            pg_round(
+                mean_of_parts(F.sum(F.col("price_sum") / F.col("sqft")), F.sum("price_n"), 13), 2
+            ).alias("avg_price_per_sqft"),
         )
         .orderBy(asc("listing_type"), desc("avg_price_per_sqft"))
     )
@@ -101,23 +116,24 @@ def neighborhood_price_appreciation(t: Tables, as_of=None) -> DataFrame:
     """Mean first-to-last price change (%) of listings per neighborhood name
     and city, and how many listings had a usable first price."""
     span = listing_price_span(t["property_price_history"]).where(F.col("first_price") > 0)
-    per_listing = (
+    pct = pct_change("last_price", "first_price")
+    # per listing -> partial sums per property -> per neighborhood
+    per_property = (
         span.join(t["listings"].select("listing_id", "property_id"), "listing_id")
-        .join(t["properties"].select("property_id", "neighborhood_id"), "property_id")
-        .select(
-            "listing_id",
-            "neighborhood_id",
-            pct_change("last_price", "first_price").alias("pct_change"),
-        )
-        .where(F.col("pct_change").isNotNull())
+        .where(pct.isNotNull())
+        .groupBy("property_id")
+        .agg(F.sum(pct).alias("pct_sum"), F.count(F.lit(1)).alias("n"))
     )
     nb = t["neighborhoods"].select("neighborhood_id", "neighborhood_name", "city")
     return (
-        per_listing.join(nb, "neighborhood_id")
+        per_property.join(t["properties"].select("property_id", "neighborhood_id"), "property_id")
+        .join(nb, "neighborhood_id")
         .groupBy("neighborhood_name", "city")
         .agg(
-            pg_round(dec_mean("pct_change"), 2).alias("avg_price_appreciation_pct"),
-            F.count("listing_id").alias("listings_with_price_changes"),
+            pg_round(mean_of_parts(F.sum("pct_sum"), F.sum("n"), 12), 2).alias(
+                "avg_price_appreciation_pct"
+            ),
+            F.sum("n").alias("listings_with_price_changes"),
         )
         .orderBy(desc("avg_price_appreciation_pct"))
     )

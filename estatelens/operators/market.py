@@ -13,9 +13,8 @@ from estatelens.functions import (
     asc,
     count_if,
     count_pct,
-    dec_mean,
     desc,
-    int_mean,
+    mean_of_parts,
     months_before,
     pct_change,
     pg_int,
@@ -25,11 +24,15 @@ from estatelens.functions import (
 Tables = Mapping[str, DataFrame]
 
 
-def _listing_geo(t: Tables, listings: DataFrame, props=None, nbhds=None) -> DataFrame:
-    """listings -> properties -> neighborhoods (inner, N:1 each)."""
-    p = props if props is not None else t["properties"]
-    n = nbhds if nbhds is not None else t["neighborhoods"]
-    return listings.join(p, "property_id").join(n, "neighborhood_id")
+def _to_geo(per_property: DataFrame, props: DataFrame, nbhds: DataFrame) -> DataFrame:
+    """Attach property and neighborhood attributes (inner, N:1 each) to rows
+    that are already aggregated to property grain.
+
+    Listing-grained jobs first reduce listings to (property_id, group key)
+    partials: the property join then shuffles property-grained rows, the
+    neighborhood join sees one row per property and group, and a property
+    holding a third of all listings is combined map-side."""
+    return per_property.join(props, "property_id").join(nbhds, "neighborhood_id")
 
 
 def ny_ppsf_by_property_type(t: Tables, as_of=None) -> DataFrame:
@@ -39,8 +42,11 @@ def ny_ppsf_by_property_type(t: Tables, as_of=None) -> DataFrame:
     The listing price is a grouping key that is not output, so one
     (type, neighborhood) pair can appear on several rows.
     """
-    listings = t["listings"].where(F.col("listing_status").isin("Sold", "Rented")).select(
-        "property_id", "listing_price"
+    per_property = (
+        t["listings"]
+        .where(F.col("listing_status").isin("Sold", "Rented"))
+        .groupBy("property_id", "listing_price")
+        .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("n"))
     )
     props = t["properties"].where(
         F.col("property_type").isin("Single-family", "Condo", "Townhouse") & (F.col("sqft") > 0)
@@ -48,14 +54,15 @@ def ny_ppsf_by_property_type(t: Tables, as_of=None) -> DataFrame:
     nb = t["neighborhoods"].where(F.col("state") == "NY").select(
         "neighborhood_id", "neighborhood_name"
     )
+    ppsf = F.col("listing_price") / F.col("sqft")  # per listing row, NUMERIC
     return (
-        _listing_geo(t, listings, props, nb)
+        _to_geo(per_property, props, nb)
         .groupBy("property_type", "neighborhood_name", "listing_price")
         .agg(
-            F.count_distinct("property_id").alias("property_count"),
-            pg_round(dec_mean(F.col("listing_price") / F.col("sqft")), 2).alias(
-                "avg_price_per_sqft"
-            ),
+            F.count("property_id").alias("property_count"),
+            pg_round(
+                F.sum(ppsf * F.col("n")) / F.sum(F.when(ppsf.isNotNull(), F.col("n"))), 2
+            ).alias("avg_price_per_sqft"),
         )
         .orderBy(asc("property_type"), desc("avg_price_per_sqft"))
         .drop("listing_price")
@@ -66,23 +73,22 @@ def two_bedroom_price_trend(t: Tables, as_of=None) -> DataFrame:
     """Listings of the last 12 months whose bedroom count rounds to 2: per
     month and neighborhood, distinct properties, mean price and the change
     (%) against the previous month present for that neighborhood."""
-    listings = t["listings"].where(F.col("listing_date") >= months_before(as_of, 12)).select(
-        "property_id", "listing_date", "listing_price"
+    per_property = (
+        t["listings"]
+        .where(F.col("listing_date") >= months_before(as_of, 12))
+        .groupBy("property_id", F.trunc("listing_date", "month").alias("listing_month"))
+        .agg(F.sum("listing_price").alias("price_sum"), F.count("listing_price").alias("price_n"))
     )
     props = t["properties"].where(pg_int("bedroom") == 2).select(
         "property_id", "neighborhood_id"
     )
     nb = t["neighborhoods"].select("neighborhood_id", "neighborhood_name")
     monthly = (
-        _listing_geo(t, listings, props, nb)
-        .groupBy(
-            F.trunc("listing_date", "month").alias("listing_month"),
-            "neighborhood_name",
-            "neighborhood_id",
-        )
+        _to_geo(per_property, props, nb)
+        .groupBy("listing_month", "neighborhood_name", "neighborhood_id")
         .agg(
-            F.count_distinct("property_id").alias("total_2br_properties"),
-            dec_mean("listing_price").alias("avg_price"),
+            F.count("property_id").alias("total_2br_properties"),
+            mean_of_parts(F.sum("price_sum"), F.sum("price_n")).alias("avg_price"),
         )
     )
     # One row per (neighborhood, month) after the aggregate, so the window
@@ -134,8 +140,8 @@ def asking_vs_accepted_offer(t: Tables, as_of=None) -> DataFrame:
         .groupBy("neighborhood_name", "city")
         .agg(*[F.sum(c).alias(c) for c in sums])
     )
-    avg_l = F.col("l_sum") / F.col("l_n")
-    avg_o = F.col("o_sum") / F.col("o_n")
+    avg_l = mean_of_parts("l_sum", "l_n")
+    avg_o = mean_of_parts("o_sum", "o_n")
     return per_nb.select(
         "neighborhood_name",
         F.col("n").alias("total_completed_sales"),
@@ -231,18 +237,20 @@ def pipeline_conversion(t: Tables, as_of=None) -> DataFrame:
     flagged = listings.join(inquired, "listing_id", "left").join(
         offer_stages, "listing_id", "left"
     )
+    stages = ("total_listings", "with_inquiries", "with_offers", "offers_accepted", "deals_closed")
+    per_property = flagged.groupBy("property_id", "listing_type").agg(
+        F.count("listing_id").alias("total_listings"),
+        count_if(F.col("has_inquiry")).alias("with_inquiries"),
+        count_if(F.col("has_offer")).alias("with_offers"),
+        count_if(F.col("has_accepted")).alias("offers_accepted"),
+        count_if(F.col("has_closed")).alias("deals_closed"),
+    )
     props = t["properties"].select("property_id", "neighborhood_id")
     nb = t["neighborhoods"].select("neighborhood_id", "city")
     return (
-        _listing_geo(t, flagged, props, nb)
+        _to_geo(per_property, props, nb)
         .groupBy("listing_type", "city")
-        .agg(
-            F.count("listing_id").alias("total_listings"),
-            count_if(F.col("has_inquiry")).alias("with_inquiries"),
-            count_if(F.col("has_offer")).alias("with_offers"),
-            count_if(F.col("has_accepted")).alias("offers_accepted"),
-            count_if(F.col("has_closed")).alias("deals_closed"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in stages])
         .withColumn(
             "inquiry_to_closure_pct", pg_round(count_pct("deals_closed", "with_inquiries"), 2)
         )
@@ -253,21 +261,30 @@ def pipeline_conversion(t: Tables, as_of=None) -> DataFrame:
 def time_on_market(t: Tables, as_of=None) -> DataFrame:
     """Closed listings of the last 12 months per (listing type, city): count
     and mean / min / max AGE day component from listing to close."""
-    listings = t["listings"].where(
-        (F.col("listing_date") >= months_before(as_of, 12)) & F.col("close_date").isNotNull()
-    ).select("listing_id", "property_id", "listing_type", "listing_date", "close_date")
+    d = age_day_part("close_date", "listing_date")
+    per_property = (
+        t["listings"]
+        .where((F.col("listing_date") >= months_before(as_of, 12)) & F.col("close_date").isNotNull())
+        .withColumn("d", d)
+        .groupBy("property_id", "listing_type")
+        .agg(
+            F.count("listing_id").alias("n"),
+            F.sum(F.col("d").cast("decimal(20,0)")).alias("d_sum"),
+            F.count("d").alias("d_n"),
+            F.min("d").alias("d_min"),
+            F.max("d").alias("d_max"),
+        )
+    )
     props = t["properties"].select("property_id", "neighborhood_id")
     nb = t["neighborhoods"].select("neighborhood_id", "city")
-    d = age_day_part("close_date", "listing_date")
     return (
-        _listing_geo(t, listings, props, nb)
-        .withColumn("d", d)
+        _to_geo(per_property, props, nb)
         .groupBy("listing_type", "city")
         .agg(
-            F.count("listing_id").alias("total_listings"),
-            pg_round(int_mean("d"), 1).alias("avg_days_on_market"),
-            F.min("d").alias("min_days"),
-            F.max("d").alias("max_days"),
+            F.sum("n").alias("total_listings"),
+            pg_round(mean_of_parts(F.sum("d_sum"), F.sum("d_n"), 0), 1).alias("avg_days_on_market"),
+            F.min("d_min").alias("min_days"),
+            F.max("d_max").alias("max_days"),
         )
         .orderBy(asc("listing_type"), asc("avg_days_on_market"))
     )

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.functions import age_day_part, asc, desc, months_before, pg_round
+from estatelens.functions import age_day_part, asc, desc, mean_of_parts, months_before, pg_round
 
 Tables = Mapping[str, DataFrame]
 
@@ -120,8 +120,8 @@ def team_sales_performance(t: Tables, as_of=None) -> DataFrame:
             "team_name",
             "region",
             F.col("n").alias("total_sales"),
-            pg_round(F.col("price_sum") / F.col("price_n"), 2).alias("avg_sales_price"),
-            pg_round(F.col("days_sum") / F.col("days_n"), 1).alias("avg_days_on_market"),
+            pg_round(mean_of_parts("price_sum", "price_n"), 2).alias("avg_sales_price"),
+            pg_round(mean_of_parts("days_sum", "days_n", 0), 1).alias("avg_days_on_market"),
         )
         .orderBy(desc("avg_sales_price"), asc("avg_days_on_market"))
     )
