@@ -88,29 +88,43 @@ def row_rule_counts(df: DataFrame, table: str | Table) -> DataFrame:
     ).select("table_name", "rule_id", F.col("violations").cast("bigint"))
 
 
-def key_rule_counts(df: DataFrame, table: str | Table) -> DataFrame:
-    """Rows that share a PRIMARY KEY / UNIQUE value with another row."""
-    t = TABLES[table] if isinstance(table, str) else table
-    keys = [("primary_key", (t.primary_key,))] + [("unique", u) for u in t.unique]
+def key_rules(table: Table) -> list[tuple[str, tuple[str, ...]]]:
+    """(rule_id, key columns) of the PRIMARY KEY and every UNIQUE."""
+    return [(f"primary_key:{table.primary_key}", (table.primary_key,))] + [
+        (f"unique:{'+'.join(u)}", tuple(u)) for u in table.unique
+    ]
+
+
+def _duplicate_group_sizes(df: DataFrame, table: Table) -> DataFrame:
+    """(table_name, rule_id, n) for every key value held by n > 1 rows."""
     parts = []
-    for kind, cols in keys:
-        dup_rows = (
-            df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-            .groupBy(*cols)
-            .count()
-            .where(F.col("count") > 1)
-            .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("violations"))
-        )
+    for rid, cols in key_rules(table):
+        nonnull = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
         parts.append(
-            dup_rows.select(
-                F.lit(t.name).alias("table_name"),
-                F.lit(f"{kind}:{'+'.join(cols)}").alias("rule_id"),
-                "violations",
+            df.where(nonnull).groupBy(*cols).count().where(F.col("count") > 1).select(
+                F.lit(table.name).alias("table_name"), F.lit(rid).alias("rule_id"),
+                F.col("count").alias("n"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
 
 
+def _with_zeros(spark, rule_ids: list[tuple[str, str]], counts: DataFrame) -> DataFrame:
+    """Attach the counts to the full rule list (rules without rows get 0)."""
+    catalog = spark.createDataFrame(rule_ids, "table_name string, rule_id string")
+    return catalog.join(counts, ["table_name", "rule_id"], "left").select(
+        "table_name", "rule_id", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
+def key_rule_counts(df: DataFrame, table: str | Table) -> DataFrame:
+    """Rows that share a PRIMARY KEY / UNIQUE value with another row."""
+    t = TABLES[table] if isinstance(table, str) else table
+    counts = _duplicate_group_sizes(df, t).groupBy("table_name", "rule_id").agg(
+        F.sum("n").alias("violations"))
+    return _with_zeros(df.sparkSession, [(t.name, rid) for rid, _ in key_rules(t)], counts)
+
+
 def duplicate_keys(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFrame:
     """The rows whose (non-NULL) key occurs more than once.
 
@@ -131,17 +145,22 @@ def orphans(t: Tables, table: str | Table, column: str) -> DataFrame:
     return child.join(parent, F.col(column) == F.col("__pk"), "left_anti")
 
 
+def _fk_rule_id(fk) -> str:
+    return f"foreign_key:{fk.column}->{fk.parent}"
+
+
 def foreign_key_counts(t: Tables, table: str | Table) -> DataFrame | None:
     tb = TABLES[table] if isinstance(table, str) else table
-    parts = [
-        orphans(t, tb, fk.column).agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(tb.name).alias("table_name"),
-            F.lit(f"foreign_key:{fk.column}->{fk.parent}").alias("rule_id"),
-            "violations",
-        )
+    if not tb.foreign_keys:
+        return None
+    orphan_rows = reduce(DataFrame.unionByName, [
+        orphans(t, tb, fk.column).select(
+            F.lit(tb.name).alias("table_name"), F.lit(_fk_rule_id(fk)).alias("rule_id"))
         for fk in tb.foreign_keys
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    ])
+    counts = orphan_rows.groupBy("table_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
+    spark = t[tb.name].sparkSession
+    return _with_zeros(spark, [(tb.name, _fk_rule_id(fk)) for fk in tb.foreign_keys], counts)
 
 
 def _union(parts) -> DataFrame:
@@ -154,13 +173,26 @@ def row_rule_report(t: Tables, as_of=None) -> DataFrame:
 
 
 def key_rule_report(t: Tables, as_of=None) -> DataFrame:
-    """PRIMARY KEY / UNIQUE violation counts for all 14 tables."""
-    return _union(key_rule_counts(t[tb.name], tb) for tb in LOAD_ORDER)
+    """PRIMARY KEY / UNIQUE violation counts for all 14 tables: the
+    duplicate groups of every key are unioned and counted in one
+    aggregation."""
+    sizes = reduce(DataFrame.unionByName, [_duplicate_group_sizes(t[tb.name], tb) for tb in LOAD_ORDER])
+    counts = sizes.groupBy("table_name", "rule_id").agg(F.sum("n").alias("violations"))
+    rules = [(tb.name, rid) for tb in LOAD_ORDER for rid, _ in key_rules(tb)]
+    return _with_zeros(t["offices"].sparkSession, rules, counts)
 
 
 def foreign_key_report(t: Tables, as_of=None) -> DataFrame:
-    """Orphan counts for all 19 foreign keys."""
-    return _union(foreign_key_counts(t, tb) for tb in LOAD_ORDER)
+    """Orphan counts for all 19 foreign keys (one aggregation over the
+    union of every anti join's rows)."""
+    orphan_rows = reduce(DataFrame.unionByName, [
+        orphans(t, tb, fk.column).select(
+            F.lit(tb.name).alias("table_name"), F.lit(_fk_rule_id(fk)).alias("rule_id"))
+        for tb in LOAD_ORDER for fk in tb.foreign_keys
+    ])
+    counts = orphan_rows.groupBy("table_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
+    rules = [(tb.name, _fk_rule_id(fk)) for tb in LOAD_ORDER for fk in tb.foreign_keys]
+    return _with_zeros(t["offices"].sparkSession, rules, counts)
 
 
 def violations(t: Tables, table: str) -> DataFrame:
@@ -171,12 +203,10 @@ def violations(t: Tables, table: str) -> DataFrame:
     parts = []
     for rid, v in row_rules(tb, df):
         parts.append(df.where(v).select(F.lit(tb.name).alias("table_name"), F.lit(rid).alias("rule_id"), pk))
-    for kind, cols in [("primary_key", (tb.primary_key,))] + [("unique", u) for u in tb.unique]:
+    for rid, cols in key_rules(tb):
         parts.append(
             duplicate_keys(df, cols).select(
-                F.lit(tb.name).alias("table_name"),
-                F.lit(f"{kind}:{'+'.join(cols)}").alias("rule_id"),
-                pk,
+                F.lit(tb.name).alias("table_name"), F.lit(rid).alias("rule_id"), pk
             )
         )
     for fk in tb.foreign_keys:
