@@ -29,7 +29,6 @@ from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
 Tables = Mapping[str, DataFrame]
 
-REPORT_SCHEMA = "table_name string, rule_id string, violations bigint"
 
 
 def _fails(pred: Column) -> Column:

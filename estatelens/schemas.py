@@ -10,7 +10,7 @@ data-quality jobs in :mod:`estatelens.operators.quality` and
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 

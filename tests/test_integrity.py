@@ -1,6 +1,5 @@
 """Data-quality and referential-action jobs on literal tables."""
 
-from decimal import Decimal
 
 from pyspark.sql import functions as F
 
