@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,11 +27,14 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "estatelens", extra: dict | None = None) -> SparkSession:
+              app_name: str = "estatelens", extra: dict | None = None,
+              checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with :data:`DEFAULT_CONF`.
 
     ``master`` defaults to ``local[$BENCH_CPUS or 8]`` when no master is
     configured (tests, bench); a cluster submit supplies its own.
+    ``checkpoint_dir`` is used only when the session names no
+    ``spark.checkpoint.dir`` (local runs and tests).
     """
     b = SparkSession.builder.appName(app_name)
     if master is None and not os.environ.get("SPARK_MASTER"):
@@ -47,18 +49,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) is a
-    scratch folder created and registered."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    The session's setting always wins; ``fallback`` is registered only when
+    nothing is set (local tests).  With neither, checkpointing jobs keep
+    their lineage instead of writing to a machine-local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="estatelens-ckpt-")
+    if not d and fallback:
+        d = fallback
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
+    if d and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
