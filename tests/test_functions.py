@@ -98,3 +98,10 @@ def test_clean_phone_strips_and_truncates(spark):
 
     df = spark.createDataFrame([("+1 (212) 555-01.99x123456789",)], "p string")
     assert df.select(clean_phone("p").alias("x")).first().x == "+1(212)555-019912345"
+
+
+def test_cluster_conf_sizes_partitions_for_the_largest_shuffle():
+    from estatelens.session import cluster_conf
+
+    assert cluster_conf(4e12, 4000)["spark.sql.shuffle.partitions"] == "14902"
+    assert cluster_conf(1e6, 16)["spark.sql.shuffle.partitions"] == "48"
