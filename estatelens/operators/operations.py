@@ -13,7 +13,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.functions import age_day_part, asc, desc, mean_of_parts, months_before, pg_round
+from estatelens.functions import (
+    age_day_part,
+    asc,
+    dec_mean,
+    desc,
+    mean_of_parts,
+    months_before,
+    pg_round,
+)
 
 Tables = Mapping[str, DataFrame]
 
@@ -73,10 +81,7 @@ def office_revenue_past_quarter(t: Tables, as_of=None) -> DataFrame:
 def commission_split_by_type(t: Tables, as_of=None) -> DataFrame:
     """Paid commissions per type: count and mean amount, rate and split, and
     the implied company share 100 - mean split."""
-
-    def mean(c: str):
-        return F.sum(c) / F.count(c)
-
+    mean = dec_mean
     return (
         _paid(t)
         .groupBy("commission_type")
