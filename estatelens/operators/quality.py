@@ -62,14 +62,18 @@ def row_rules(table: Table, df: DataFrame | None = None) -> list[tuple[str, Colu
     return rules
 
 
-def split(df: DataFrame, table: str | Table) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows + ``failed_rules`` array) by row rules."""
+def split(df: DataFrame, table: str | Table, keep_tagged: bool = False):
+    """(good rows, rejected rows + ``failed_rules`` array) by row rules.
+
+    With ``keep_tagged`` returns (all rows with ``failed_rules``, None)."""
     t = TABLES[table] if isinstance(table, str) else table
     rules = row_rules(t, df)
     failed = F.filter(
         F.array(*[F.when(v, F.lit(rid)) for rid, v in rules]), lambda x: x.isNotNull()
     )
     tagged = df.withColumn("failed_rules", failed)
+    if keep_tagged:
+        return tagged, None
     good = tagged.where(F.size("failed_rules") == 0).drop("failed_rules")
     bad = tagged.where(F.size("failed_rules") > 0)
     return good, bad

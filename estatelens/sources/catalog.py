@@ -18,11 +18,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators.quality import apply_defaults, duplicate_keys, split
+from pyspark import StorageLevel
+
+from estatelens.operators.quality import apply_defaults, key_rules, split
 from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
 BATCH_COL = "load_batch"
@@ -60,12 +63,26 @@ def read_table(spark: SparkSession, root: str, table: str,
     return df.select(*t.column_names)
 
 
+EMPTY_BATCH = -1
+
+
+def table_exists(spark: SparkSession, root: str, table: str) -> bool:
+    try:
+        spark.read.schema(TABLES[table].schema).parquet(table_path(root, table))
+        return True
+    except AnalysisException:
+        return False
+
+
 def create_table(spark: SparkSession, root: str, table: str) -> None:
-    """Create an empty dataset for ``table`` unless it already exists."""
-    t = TABLES[table]
-    schema = T.StructType(t.schema.fields + [T.StructField(BATCH_COL, T.LongType())])
-    (spark.createDataFrame([], schema).write.mode("ignore")
-        .partitionBy(BATCH_COL).parquet(table_path(root, table)))
+    """Create ``table`` empty unless it exists: one empty ``load_batch=-1``
+    partition holding only the schema, so every reader - including plans
+    cached before the first real batch lands - sees the same partition
+    column."""
+    if table_exists(spark, root, table):
+        return
+    empty = spark.createDataFrame([], TABLES[table].schema).coalesce(1)
+    empty.write.mode("ignore").parquet(f"{table_path(root, table)}/{BATCH_COL}={EMPTY_BATCH}")
 
 
 def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -81,37 +98,45 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in TABLES}
 
 
-def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected) for one batch: row rules, then PRIMARY KEY/UNIQUE
-    duplicates inside the batch and against ``parents[table]`` (rows already
-    stored), then foreign keys against the stored parents."""
-    df = apply_defaults(df, table)
-    good, bad = split(df, table)
+def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``df`` plus a ``failed_rules`` array (empty = the row may be stored).
+
+    Row rules first (defaults applied), then PRIMARY KEY / UNIQUE duplicates
+    among the rows that pass them (and, for appends, against
+    ``parents[table]`` - the rows already stored), then foreign keys against
+    the stored parents.  Every check is a column expression, an aggregation
+    or a left join to a de-duplicated key set, so the batch is tagged in one
+    pipeline and no join can multiply rows."""
+    tagged, _ = split(apply_defaults(df, table), table, keep_tagged=True)
+    rules = F.col("failed_rules")
+
+    def flag(cond, rule_id: str):
+        return F.when(cond, F.array_append(rules, F.lit(rule_id))).otherwise(rules)
+
     existing = parents.get(table.name)
-    for cols in [(table.primary_key,)] + list(table.unique):
+    for rule_id, cols in key_rules(table):
         cols = list(cols)
-        dup = duplicate_keys(good, cols).select(*cols).distinct()
+        clean = tagged.where(F.size(rules) == 0)
+        nonnull = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        dup = clean.where(nonnull).groupBy(*cols).count().where(F.col("count") > 1).select(*cols)
         if existing is not None:
-            dup = dup.unionByName(good.join(existing.select(*cols), cols, "left_semi").select(*cols))
-        rule = f"{'primary_key' if cols == [table.primary_key] else 'unique'}:{'+'.join(cols)}"
-        flagged = good.join(dup.distinct(), cols, "left_semi")
-        bad = bad.unionByName(flagged.withColumn("failed_rules", F.array(F.lit(rule))))
-        good = good.join(dup, cols, "left_anti")
+            dup = dup.unionByName(existing.select(*cols))
+        dup = dup.distinct().withColumn("__dup", F.lit(True))
+        tagged = (tagged.join(dup, cols, "left")
+                  .withColumn("failed_rules", flag(F.col("__dup") & (F.size(rules) == 0), rule_id))
+                  .drop("__dup"))
     for fk in table.foreign_keys:
         parent = parents.get(fk.parent)
         if parent is None:
             continue
-        # stored parents passed their key check, so the keys are unique and
-        # this left join cannot multiply rows
+        # stored parents passed their key check: unique keys, no fan-out
         keys = parent.select(F.col(fk.parent_column).alias("__pk"), F.lit(True).alias("__hit"))
         col = F.col(fk.column)
-        probed = good.where(col.isNotNull()).join(keys, col == F.col("__pk"), "left")
-        orphan = probed.where(F.col("__hit").isNull()).drop("__pk", "__hit")
-        bad = bad.unionByName(
-            orphan.withColumn("failed_rules", F.array(F.lit(f"foreign_key:{fk.column}->{fk.parent}")))
-        )
-        good = probed.where(F.col("__hit")).drop("__pk", "__hit").unionByName(good.where(col.isNull()))
-    return good.select(*table.column_names), bad
+        tagged = (tagged.join(keys, col == F.col("__pk"), "left")
+                  .withColumn("failed_rules", flag(col.isNotNull() & F.col("__hit").isNull(),
+                                                   f"foreign_key:{fk.column}->{fk.parent}"))
+                  .drop("__pk", "__hit"))
+    return tagged.select(*table.column_names, "failed_rules")
 
 
 def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: int,
@@ -122,15 +147,18 @@ def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: i
     batch number); ``replace_table`` drops every earlier batch first - the
     full rebuild of a DROP TABLE + CREATE + INSERT."""
     mode = "static" if replace_table else "dynamic"
+    # Rejected rows first: writing the table path makes Spark re-cache any
+    # plan that reads it (appends read the stored rows for key checks), so
+    # the table is written last.
+    (bad.withColumn(BATCH_COL, F.lit(batch).cast("long"))
+        .write.mode("overwrite").option("partitionOverwriteMode", mode)
+        .partitionBy(BATCH_COL).parquet(rejected_path(root, table)))
     keys = SORT_KEYS.get(table)
     out = good.withColumn(BATCH_COL, F.lit(batch).cast("long"))
     if keys:
         out = out.sortWithinPartitions(*keys)
     (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
         .partitionBy(BATCH_COL).parquet(table_path(root, table)))
-    (bad.withColumn(BATCH_COL, F.lit(batch).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", mode)
-        .partitionBy(BATCH_COL).parquet(rejected_path(root, table)))
 
 
 def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
@@ -153,8 +181,11 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 parents[fk.parent] = read_table(spark, root, fk.parent)
         if append:
             parents[t.name] = read_table(spark, root, t.name, exclude_batch=batch)
-        good, bad = check_rows(tables[t.name], t, parents)
+        tagged = check_rows(tables[t.name], t, parents).persist(StorageLevel.MEMORY_AND_DISK)
+        good = tagged.where(F.size("failed_rules") == 0).drop("failed_rules")
+        bad = tagged.where(F.size("failed_rules") > 0)
         write_batch(good, bad, root, t.name, batch, replace_table=not append)
+        tagged.unpersist()
         stored[t.name] = read_table(spark, root, t.name)
         rejected[t.name] = read_rejected(spark, root, t.name).where(F.col(BATCH_COL) == batch).count()
     return rejected

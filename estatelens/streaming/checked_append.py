@@ -13,6 +13,7 @@ effectively exactly-once together with the checkpoint.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelens.schemas import TABLES
@@ -43,8 +44,11 @@ def checked_append_stream(spark: SparkSession, table: str, landing: str, root: s
         parents = {t.name: catalog.read_table(spark, root, t.name, exclude_batch=batch_id)}
         for fk in t.foreign_keys:
             parents[fk.parent] = catalog.read_table(spark, root, fk.parent)
-        good, bad = catalog.check_rows(batch, t, parents)
+        tagged = catalog.check_rows(batch, t, parents).persist()
+        good = tagged.where(F.size("failed_rules") == 0).drop("failed_rules")
+        bad = tagged.where(F.size("failed_rules") > 0)
         catalog.write_batch(good, bad, root, table, batch_id)
+        tagged.unpersist()
 
     writer = source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
