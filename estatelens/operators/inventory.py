@@ -94,13 +94,13 @@ def listing_price_span(history: DataFrame) -> DataFrame:
     keep the three fields from overlapping.
     """
     ts = F.col("change_date")
-    # microseconds since 1970-01-01 from the wall-clock fields: no time-zone
-    # conversion, so the order is the TIMESTAMP WITHOUT TIME ZONE order
-    micros = (
-        F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400_000_000
-        + (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000
-        + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
-    )
+    # Microseconds since 1970-01-01 of the wall-clock value: unix_timestamp
+    # of a TIMESTAMP_NTZ is its raw epoch seconds (no time-zone conversion),
+    # and the seconds field adds the sub-minute part with its fraction.
+    secs = F.unix_timestamp(ts)
+    micros = (secs - F.pmod(secs, F.lit(60))) * 1_000_000 + (
+        F.date_part(F.lit("SECOND"), ts) * 1_000_000
+    ).cast("bigint")
     key = (
         F.when(ts.isNull(), 1).otherwise(0).cast("decimal(38,0)") * F.lit(Decimal(10) ** 37)
         + F.coalesce(micros, F.lit(0)).cast("decimal(38,0)") * F.lit(Decimal(10) ** 20)

@@ -173,3 +173,22 @@ def test_pipeline_without_inquiries_has_null_pct(spark):
     r = market.pipeline_conversion(t, AS_OF).first()
     assert (r.total_listings, r.with_inquiries, r.with_offers, r.offers_accepted,
             r.deals_closed, r.inquiry_to_closure_pct) == (1, 0, 1, 1, 1, None)
+
+
+def test_price_span_orders_by_wall_clock_in_any_session_zone(spark):
+    # 02:30 does not exist in New York on 2024-03-10; wall-clock order must
+    # still put it before 03:00, and sub-second differences must count.
+    t = tables(spark, property_price_history=[
+        hist(1, 1, "100", "90", "2024-03-10 03:00:00"),
+        hist(2, 1, "95", "85", "2024-03-10 02:30:00"),
+        hist(3, 2, "10", "11", "2024-01-01 00:00:00.000002"),
+        hist(4, 2, "20", "21", "2024-01-01 00:00:00.000001"),
+    ])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r.listing_id: (r.first_price, r.last_price)
+               for r in inventory.listing_price_span(t["property_price_history"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: (Decimal("95.00"), Decimal("90.00")), 2: (Decimal("20.00"), Decimal("11.00"))}
