@@ -1,6 +1,6 @@
 """Scale-up run: generate -> checked load -> time every analytical job.
 
-    python tools/scale_run.py SCRATCH_DIR SCALE [CPUS]
+    python tools/scale_run.py SCRATCH_DIR SCALE [CPUS] [--reuse]
 
 Generates the 14 tables at ``SCALE`` times the reference row counts with
 the distributed generator, loads them through the checked catalog (rule
@@ -22,7 +22,9 @@ sys.path.insert(0, ROOT)
 
 def main() -> None:
     scratch, scale = sys.argv[1], float(sys.argv[2])
-    cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
+    args = [a for a in sys.argv[3:] if not a.startswith("--")]
+    cpus = int(args[0]) if args else 8
+    reuse = "--reuse" in sys.argv  # time the jobs over tables loaded by an earlier run
 
     from estatelens.plans.registry import ANALYTICS
     from estatelens.session import get_spark
@@ -34,7 +36,7 @@ def main() -> None:
                       checkpoint_dir=os.path.join(scratch, "checkpoints"))
     root = os.path.join(scratch, "tables")
     t0 = time.perf_counter()
-    rejected = catalog.load_tables(spark, generate(spark, scale=scale, seed=42), root)
+    rejected = {} if reuse else catalog.load_tables(spark, generate(spark, scale=scale, seed=42), root)
     load_s = time.perf_counter() - t0
     tables = catalog.read_tables(spark, root)
     rows = {name: df.count() for name, df in tables.items()}
