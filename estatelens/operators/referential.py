@@ -36,14 +36,20 @@ class DeleteResult:
 
 
 def _materialize(df: DataFrame, enabled: bool) -> DataFrame:
+    """Reliable checkpoint to the session's ``spark.checkpoint.dir``; with
+    no shared folder configured the lineage is kept (never a local one)."""
     if not enabled:
         return df
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        d = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            return df  # nowhere shared to write: keep the lineage
-        sc.setCheckpointDir(d)
+    configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = df.sparkSession.sparkContext
+        if not sc.getCheckpointDir():
+            if not configured:
+                return df
+            sc.setCheckpointDir(configured)
+    except Exception:  # Spark Connect: the server's configuration decides
+        if not configured:
+            return df
     return df.checkpoint(eager=True)
 
 
