@@ -80,3 +80,17 @@ def test_full_rebuild_drops_earlier_batches(spark, tmp_path):
     assert catalog.read_table(spark, root, "customers").count() == 2 * gen["customers"].count()
     catalog.load_tables(spark, {"customers": gen["customers"]}, root)  # rebuild
     assert catalog.read_table(spark, root, "customers").count() == gen["customers"].count()
+
+
+def test_command_line_load_query_check(spark, tmp_path, capsys):
+    from estatelens.__main__ import main
+
+    root = str(tmp_path / "tables")
+    assert main(["load", "--tables", root, "--scale", "1", "--seed", "3"]) == 0
+    out = str(tmp_path / "q")
+    assert main(["query", "walkability_split", "--tables", root, "--out", out]) == 0
+    assert spark.read.parquet(out).count() == 2
+    assert main(["check", "--tables", root, "--out", str(tmp_path / "c")]) == 0
+    assert spark.read.parquet(str(tmp_path / "c")).where("violations > 0").count() == 0
+    assert main(["list"]) == 0
+    assert "pipeline_conversion" in capsys.readouterr().out
