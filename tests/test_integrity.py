@@ -149,3 +149,21 @@ def test_violation_rows_name_rule_and_key(spark):
     got = sorted((r.rule_id, r.key) for r in quality.violations(t, "teams").collect())
     assert got == [("foreign_key:office_id->offices", 2), ("not_null:team_name", 2),
                    ("primary_key:team_id", 2), ("primary_key:team_id", 2)]
+
+
+def test_no_orphans_after_cascading_deletes(spark):
+    from pyspark.sql import functions as F
+
+    from estatelens.sources.generator import generate
+
+    t = generate(spark, scale=3.0, seed=21)
+    for table, keys in [
+        ("properties", t["properties"].where(F.col("property_id") % 3 == 0).select("property_id")),
+        ("customers", t["customers"].where(F.col("customer_type") == "renter").select("customer_id")),
+        ("agents", t["agents"].where(F.col("status") == "Retired").select("agent_id")),
+        ("offices", t["offices"].where(F.col("office_id") <= 2).select("office_id")),
+    ]:
+        res = referential.delete_cascade(t, table, keys, materialize=False)
+        bad = quality.foreign_key_report(res.tables).where("violations > 0").collect()
+        assert bad == [], (table, bad)
+        assert res.tables[table].count() == t[table].count() - keys.distinct().count()
