@@ -30,11 +30,18 @@ from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
 BATCH_COL = "load_batch"
 
-# Physical layout: sort inside files by the column range filters use, so
-# Parquet row-group min/max statistics let the scan skip row groups.
-SORT_KEYS = {
+# Physical layout.  Tables the jobs filter by a date window (listings by
+# listing_date, commissions by paid_date) are range-partitioned on that date
+# when written, so each file covers a disjoint date range: for a date window
+# the Parquet reader reads only the footers of files outside it and skips
+# all their row groups.  Every listed table is also sorted inside its files,
+# so row groups are skipped and keys compress well.
+RANGE_KEYS = {
     "listings": ("listing_date",),
     "commissions": ("paid_date",),
+}
+SORT_KEYS = {
+    **RANGE_KEYS,
     "property_price_history": ("listing_id",),
     "customer_interactions": ("listing_id",),
     "offers": ("listing_id",),
@@ -153,10 +160,11 @@ def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: i
     (bad.withColumn(BATCH_COL, F.lit(batch).cast("long"))
         .write.mode("overwrite").option("partitionOverwriteMode", mode)
         .partitionBy(BATCH_COL).parquet(rejected_path(root, table)))
-    keys = SORT_KEYS.get(table)
     out = good.withColumn(BATCH_COL, F.lit(batch).cast("long"))
-    if keys:
-        out = out.sortWithinPartitions(*keys)
+    if table in RANGE_KEYS:
+        out = out.repartitionByRange(*RANGE_KEYS[table])
+    if table in SORT_KEYS:
+        out = out.sortWithinPartitions(*SORT_KEYS[table])
     (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
         .partitionBy(BATCH_COL).parquet(table_path(root, table)))
 

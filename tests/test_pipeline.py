@@ -94,3 +94,30 @@ def test_command_line_load_query_check(spark, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "c")).where("violations > 0").count() == 0
     assert main(["list"]) == 0
     assert "pipeline_conversion" in capsys.readouterr().out
+
+
+def test_date_filtered_tables_are_laid_out_by_date(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    root = str(tmp_path / "tables")
+    # small data: keep AQE from merging the range partitions into one file
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        catalog.load_tables(spark, generate(spark, scale=20.0, seed=4), root)
+    finally:
+        spark.conf.set(key, old)
+    files = sorted(glob.glob(f"{root}/listings/load_batch=0/*.parquet"))
+    assert len(files) > 1
+    ranges = []
+    for f in files:
+        md = pq.ParquetFile(f).metadata
+        col = [md.row_group(0).column(i).path_in_schema for i in range(md.num_columns)].index("listing_date")
+        stats = [md.row_group(g).column(col).statistics for g in range(md.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    ranges.sort()
+    # files cover disjoint, increasing date ranges: a date window skips whole files
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
