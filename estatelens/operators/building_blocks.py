@@ -5,7 +5,9 @@ rely on, so each can be checked over whole tables on its own:
   ascending / descending with PostgreSQL NULL order, ties by id);
 * the AGE() day component from listing to close, per closed listing;
 * whole elapsed days from an interaction to its listing's close;
-* the rounding INTEGER cast of bedroom counts.
+* the rounding INTEGER cast of bedroom counts;
+* the equi join with a residual inequality (a price cut dated on or before
+  the close date) behind the sold-with-reduction percentage.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions import age_day_part, elapsed_days, pg_int
-from estatelens.operators.inventory import listing_price_span
+from estatelens.operators.inventory import listing_price_span, sold_reduction_flags
 
 Tables = Mapping[str, DataFrame]
 
@@ -52,3 +54,8 @@ def bedroom_rounding_counts(t: Tables, as_of=None) -> DataFrame:
         .groupBy(pg_int("bedroom").alias("bedroom_int"))
         .agg(F.count("property_id").alias("property_count"))
     )
+
+
+def sold_listing_reductions(t: Tables, as_of=None) -> DataFrame:
+    """listing_id, reduced (0/1) for every Sold listing with a close date."""
+    return sold_reduction_flags(t).select("listing_id", F.col("reduced").cast("bigint").alias("reduced"))

@@ -162,23 +162,33 @@ def walkability_split(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def sold_with_price_reduction_pct(t: Tables, as_of=None) -> DataFrame:
-    """Percentage of Sold listings (with a close date) that had a price cut
-    dated no later than the close date (midnight)."""
+def sold_reduction_flags(t: Tables) -> DataFrame:
+    """Per Sold listing with a close date: ``reduced`` = some price cut is
+    dated no later than the close date (midnight).
+
+    A cut on or before close exists iff the earliest cut is on or before
+    close: cuts are aggregated per listing first (skew-safe, map-side
+    combined), then a 1:1 left join replaces the equi + inequality join
+    and its DISTINCT."""
     sold = t["listings"].where(
         (F.col("listing_status") == "Sold") & F.col("close_date").isNotNull()
     ).select("listing_id", "close_date")
-    # A cut on or before close exists iff the earliest cut is on or before
-    # close: aggregate cuts per listing first (skew-safe, map-side combined),
-    # then a 1:1 join replaces the equi + inequality join and DISTINCT.
     first_cut = (
         t["property_price_history"]
         .where(F.col("new_price") < F.col("old_price"))
         .groupBy("listing_id")
         .agg(F.min("change_date").alias("first_cut"))
     )
-    flagged = sold.join(first_cut, "listing_id", "left")
-    reduced = F.col("first_cut") <= F.col("close_date").cast("timestamp_ntz")
-    return flagged.agg(
-        count_pct(count_if(reduced), F.count("listing_id"), guard=False).alias("pct_sold_with_reduction")
+    reduced = F.coalesce(F.col("first_cut") <= F.col("close_date").cast("timestamp_ntz"), F.lit(False))
+    return sold.join(first_cut, "listing_id", "left").select("listing_id", reduced.alias("reduced"))
+
+
+def sold_with_price_reduction_pct(t: Tables, as_of=None) -> DataFrame:
+    """Percentage of Sold listings (with a close date) that had a price cut
+    dated no later than the close date (midnight)."""
+    flags = sold_reduction_flags(t)
+    return flags.agg(
+        count_pct(count_if(F.col("reduced")), F.count("listing_id"), guard=False).alias(
+            "pct_sold_with_reduction"
+        )
     )

@@ -66,6 +66,7 @@ BUILDING_BLOCKS: dict[str, Job] = {
     "listing_days_on_market": building_blocks.listing_days_on_market,
     "interaction_days_to_close": building_blocks.interaction_days_to_close,
     "bedroom_rounding_counts": building_blocks.bedroom_rounding_counts,
+    "sold_listing_reductions": building_blocks.sold_listing_reductions,
 }
 
 # Results that are not rounded by the query itself; compared at 6 dp.
