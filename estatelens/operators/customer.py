@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.functions import age_day_part, count_if, desc, elapsed_days, int_mean, pg_round
+from estatelens.functions import age_day_part, asc, count_if, desc, elapsed_days, int_mean, pg_round
 
 Tables = Mapping[str, DataFrame]
 
@@ -90,15 +90,20 @@ def customer_pipeline(t: Tables, as_of=None) -> DataFrame:
         )
     )
     cu = t["customers"].select("customer_id", "first_name", "last_name", "email")
+    # The sort key has few distinct values; customer_id (a group key, ties
+    # are unordered in the reference) makes it unique so the range
+    # partitioner of the global sort can balance the output.
     return (
         cu.join(leads, "customer_id")
         .join(offers, "customer_id", "left")
         .select(
+            "customer_id",
             "first_name",
             "last_name",
             "email",
             "leads_in_pipeline",
             *[F.coalesce(c, F.lit(0)).alias(c) for c in ("offers_submitted", "contracts", "deals_closed")],
         )
-        .orderBy(desc("leads_in_pipeline"))
+        .orderBy(desc("leads_in_pipeline"), asc("customer_id"))
+        .drop("customer_id")
     )

@@ -75,7 +75,7 @@ def units_near_grade_a_high_school(t: Tables, as_of=None) -> DataFrame:
         nb.join(_properties_per_neighborhood(t), "neighborhood_id")
         .groupBy("zip_code", "neighborhood_name", "city")
         .agg(F.sum("n_properties").alias("housing_units_within_zipcode"))
-        .orderBy(desc("housing_units_within_zipcode"))
+        .orderBy(desc("housing_units_within_zipcode"), "zip_code", "neighborhood_name", "city")
     )
 
 

@@ -64,7 +64,8 @@ def ny_ppsf_by_property_type(t: Tables, as_of=None) -> DataFrame:
                 F.sum(ppsf * F.col("n")) / F.sum(F.when(ppsf.isNotNull(), F.col("n"))), 2
             ).alias("avg_price_per_sqft"),
         )
-        .orderBy(asc("property_type"), desc("avg_price_per_sqft"))
+        .orderBy(asc("property_type"), desc("avg_price_per_sqft"), "neighborhood_name",
+                 asc("listing_price"))
         .drop("listing_price")
     )
 
@@ -100,11 +101,13 @@ def two_bedroom_price_trend(t: Tables, as_of=None) -> DataFrame:
         .select(
             "listing_month",
             "neighborhood_name",
+            "neighborhood_id",
             "total_2br_properties",
             pg_round("avg_price", 2).alias("avg_listing_price"),
             pg_round(pct_change("avg_price", "prev_avg"), 2).alias("month_over_month_pct_change"),
         )
-        .orderBy(desc("listing_month"), asc("neighborhood_name"))
+        .orderBy(desc("listing_month"), asc("neighborhood_name"), "neighborhood_id")
+        .drop("neighborhood_id")
     )
 
 
@@ -142,8 +145,10 @@ def asking_vs_accepted_offer(t: Tables, as_of=None) -> DataFrame:
     )
     avg_l = mean_of_parts("l_sum", "l_n")
     avg_o = mean_of_parts("o_sum", "o_n")
+    # (name, city) tie-break: unique sort key for a balanced global sort
     return per_nb.select(
         "neighborhood_name",
+        "city",
         F.col("n").alias("total_completed_sales"),
         pg_round(avg_l, 2).alias("avg_asking_price"),
         pg_round(avg_o, 2).alias("avg_final_sale_price"),
@@ -151,7 +156,7 @@ def asking_vs_accepted_offer(t: Tables, as_of=None) -> DataFrame:
         F.col("within").alias("within_10pct_of_asking"),
         F.col("below").alias("below_10pct_discount"),
         F.col("above").alias("above_asking"),
-    ).orderBy(desc("total_completed_sales"))
+    ).orderBy(desc("total_completed_sales"), "neighborhood_name", "city").drop("city")
 
 
 def _inquiries_per_listing(t: Tables) -> DataFrame:
@@ -192,6 +197,7 @@ def rental_vs_sale_demand(t: Tables, as_of=None) -> DataFrame:
     return (
         per_nb.join(nb, "neighborhood_id")
         .select(
+            "neighborhood_id",
             "neighborhood_name",
             "city",
             F.col("n_listings").alias("total_rental_sale_listings"),
@@ -201,8 +207,9 @@ def rental_vs_sale_demand(t: Tables, as_of=None) -> DataFrame:
             pg_round(count_pct("sold", "sale_listings"), 2).alias("sale_closure_rate"),
         )
         .where(F.col("rental_closure_rate").isNotNull())
-        .orderBy(asc("city"))
-        .drop("city")
+        # few cities: neighborhood_id makes the global sort key unique
+        .orderBy(asc("city"), "neighborhood_id")
+        .drop("city", "neighborhood_id")
     )
 
 
