@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,10 +73,6 @@ BUILDING_BLOCKS: dict[str, Job] = {
 UNROUNDED = {"sold_with_price_reduction_pct": 6}
 
 
-def run(name: str, tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
-    return ANALYTICS[name](tables, as_of)
-
-
 def oracle_types(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Cast for engine-neutral comparison: decimals and floats -> DOUBLE
     (optionally rounded), integral types -> BIGINT, others unchanged."""

@@ -199,8 +199,3 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
         stored[t.name] = read_table(spark, root, t.name)
         rejected[t.name] = read_rejected(spark, root, t.name).where(F.col(BATCH_COL) == batch).count()
     return rejected
-
-
-def union_tables(*parts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    names = set().union(*[p.keys() for p in parts])
-    return {n: reduce(DataFrame.unionByName, [p[n] for p in parts if n in p]) for n in names}
