@@ -122,3 +122,15 @@ def test_date_filtered_tables_are_laid_out_by_date(spark, tmp_path):
     # files cover increasing date ranges that overlap at most at a boundary
     # date (ties are split by listing_id): a date window skips whole files
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_run_pipeline_builds_every_mart(spark, tmp_path):
+    from estatelens.plans.registry import ANALYTICS
+
+    out = marts.run_pipeline(spark, str(tmp_path), scale=1.0, seed=12)
+    assert all(v == 0 for v in out["rejected"].values())
+    assert set(out["marts"]) == set(ANALYTICS)
+    stored = catalog.read_tables(spark, str(tmp_path / "tables"))
+    for name in ("walkability_split", "pipeline_conversion", "agent_commissions"):
+        got = spark.read.parquet(out["marts"][name])
+        assert got.exceptAll(ANALYTICS[name](stored, "2024-02-01")).count() == 0
