@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,27 +83,21 @@ def listing_price_span(history: DataFrame) -> DataFrame:
     its latest change.
 
     Order is by change_date with NULL dates latest (PostgreSQL ASC/DESC),
-    ties broken by price_history_id.  ``min_by``/``max_by`` replace two
-    sorted windows with one partially aggregated hash aggregate.
-
-    The ordering (date is NULL, date, id) is packed into one DECIMAL(38,0)
-    - NULL flag * 10^37 + epoch microseconds * 10^20 + id - so the
-    aggregation buffer is fixed-width and Spark can hash-aggregate instead
-    of sorting the whole history table.  |micros| < 10^16 and |id| < 10^19
-    keep the three fields from overlapping.
+    ties broken by price_history_id.  ``min_by``/``max_by`` over the struct
+    (date IS NULL, date, id) replace two sorted windows with one aggregate
+    that is combined map-side, so a listing holding a third of all changes
+    still costs one partial row per task.
+
+    The struct ordering makes Spark use a sort-based aggregate.  Measured
+    against packing the ordering into one DECIMAL(38,0) for a hash aggregate:
+    equal on shuffled input (4.9 M rows: 1.50 s vs 1.51 s) and faster on the
+    catalog's layout, which stores history sorted by listing_id (14.8 M rows:
+    1.6 s vs 2.8 s), as 128-bit decimal arithmetic costs more than sorting
+    nearly sorted rows.  It also compares TIMESTAMP_NTZ values directly, with
+    no time-zone conversion.
     """
-    ts = F.col("change_date")
-    # Microseconds since 1970-01-01 of the wall-clock value: unix_timestamp
-    # of a TIMESTAMP_NTZ is its raw epoch seconds (no time-zone conversion),
-    # and the seconds field adds the sub-minute part with its fraction.
-    secs = F.unix_timestamp(ts)
-    micros = (secs - F.pmod(secs, F.lit(60))) * 1_000_000 + (
-        F.date_part(F.lit("SECOND"), ts) * 1_000_000
-    ).cast("bigint")
-    key = (
-        F.when(ts.isNull(), 1).otherwise(0).cast("decimal(38,0)") * F.lit(Decimal(10) ** 37)
-        + F.coalesce(micros, F.lit(0)).cast("decimal(38,0)") * F.lit(Decimal(10) ** 20)
-        + F.col("price_history_id").cast("decimal(38,0)")
+    key = F.struct(
+        F.col("change_date").isNull(), F.col("change_date"), F.col("price_history_id")
     )
     return history.groupBy("listing_id").agg(
         F.min_by("old_price", key).alias("first_price"),
