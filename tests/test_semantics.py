@@ -192,3 +192,27 @@ def test_price_span_orders_by_wall_clock_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {1: (Decimal("95.00"), Decimal("90.00")), 2: (Decimal("20.00"), Decimal("11.00"))}
+
+
+def test_reduction_pct_without_sold_listings_raises(spark):
+    import pytest
+
+    t = tables(spark, listings=[lst(1, 1, status="Active")])
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        inventory.sold_with_price_reduction_pct(t).collect()
+
+
+def test_null_listing_price_is_ignored_by_averages_but_counted(spark):
+    t = tables(spark, neighborhoods=[nb(1)], properties=[prop(1, 1, sqft=1000), prop(2, 1, sqft=1000)],
+               listings=[lst(1, 1, price="200000.00"), lst(2, 2, price=None)])
+    (r,) = inventory.active_inventory_ppsf(t).collect()
+    assert (r.property_count, r.avg_price_per_sqft) == (2, Decimal("200.00"))
+    offer = lambda i, lid, price: dict(offer_id=i, customer_id=1, listing_id=lid, offer_price=D(price),
+                                       offer_date=d("2023-01-01"), status="accepted")
+    t = tables(spark, neighborhoods=[nb(1)], properties=[prop(1, 1)],
+               listings=[lst(1, 1, price="100.00"), lst(2, 1, price=None)],
+               offers=[offer(1, 1, "95.00"), offer(2, 2, "50.00")])
+    (r,) = market.asking_vs_accepted_offer(t).collect()
+    assert (r.total_completed_sales, r.avg_asking_price, r.avg_final_sale_price) == (
+        2, Decimal("100.00"), Decimal("72.50"))
+    assert (r.within_10pct_of_asking, r.below_10pct_discount, r.above_asking) == (1, 0, 0)
