@@ -31,28 +31,52 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with :data:`DEFAULT_CONF`.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or 8]`` when no master is
-    configured (tests, bench); a cluster submit supplies its own.
-    ``checkpoint_dir`` is used only when the session names no
+    Settings given at submit time win: the defaults only fill keys the
+    launcher left unset, while ``extra`` and ``shuffle_partitions`` (explicit
+    caller choices) always apply.  ``master`` defaults to
+    ``local[$BENCH_CPUS or 8]`` only when no launcher decides it (tests,
+    bench, plain ``python``); under ``spark-submit`` the submitted master is
+    kept.  ``checkpoint_dir`` is used only when the session names no
     ``spark.checkpoint.dir`` (local runs and tests).
     """
+    launched = _master_configured()
     b = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
+    if master is None and not launched:
         master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    explicit = dict(extra or {})
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not launched:
+        b = b.config("spark.ui.enabled", "false")
+    for k, v in explicit.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k in explicit or submitted.contains(k) or not spark.conf.isModifiable(k):
+            continue
+        spark.conf.set(k, v)
+    for k, v in explicit.items():
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)  # a reused session still gets the caller's choice
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
+def _master_configured() -> bool:
+    """True when the launcher already decides the master: spark-submit and
+    the pyspark shell start the JVM gateway first (``PYSPARK_GATEWAY_PORT``)
+    and pass ``--master`` to it; an explicit ``spark.master`` counts too."""
+    from pyspark import SparkConf
+
+    if os.environ.get("PYSPARK_GATEWAY_PORT") or os.environ.get("SPARK_MASTER"):
+        return True
+    return SparkConf().contains("spark.master")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
