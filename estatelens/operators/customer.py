@@ -16,7 +16,7 @@ from estatelens.functions import age_day_part, asc, count_if, desc, elapsed_days
 Tables = Mapping[str, DataFrame]
 
 CLOSED_STATUSES = ("Sold", "Rented")
-PIPELINE_LEAD_STATUSES = ("active", "qualified", "pending")
+OPEN_LEAD_STATUSES = ("active", "qualified", "pending")
 
 
 def interactions_to_close_buckets(t: Tables, as_of=None) -> DataFrame:
@@ -63,7 +63,7 @@ def pending_contract_timeline(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def customer_pipeline(t: Tables, as_of=None) -> DataFrame:
+def customer_lead_activity(t: Tables, as_of=None) -> DataFrame:
     """Per customer with at least one lead in an open pipeline status: leads
     in the pipeline, all offers, their contracts and closed contracts.
 
@@ -73,7 +73,7 @@ def customer_pipeline(t: Tables, as_of=None) -> DataFrame:
     """
     leads = (
         t["leads"]
-        .where(F.col("lead_status").isin(*PIPELINE_LEAD_STATUSES))
+        .where(F.col("lead_status").isin(*OPEN_LEAD_STATUSES))
         .groupBy("customer_id")
         .agg(F.count("lead_id").alias("leads_in_pipeline"))
     )

@@ -213,7 +213,7 @@ def rental_vs_sale_demand(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def pipeline_conversion(t: Tables, as_of=None) -> DataFrame:
+def listing_stage_conversion(t: Tables, as_of=None) -> DataFrame:
     """Listings of the last 12 months per (listing type, city): how many
     reached each pipeline stage (inquiry, offer, accepted offer, closed
     contract) and closed deals as % of inquired listings."""

@@ -1 +1 @@
-"""Job catalogue, mart pipeline and oracle texts."""
+"""Job catalogue, mart build and oracle texts."""

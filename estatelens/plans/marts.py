@@ -1,4 +1,4 @@
-"""End-to-end pipeline: generate or read tables -> check and load -> build
+"""End-to-end run: generate or read tables -> check and load -> build
 the analytical marts (one Parquet dataset per job, for dashboards)."""
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def build_marts(tables: Mapping[str, DataFrame], out_root: str, as_of=None,
     return paths
 
 
-def run_pipeline(spark: SparkSession, root: str, scale: float = 1.0, seed: int = 42,
+def run_end_to_end(spark: SparkSession, root: str, scale: float = 1.0, seed: int = 42,
                  as_of="2024-02-01") -> dict[str, object]:
     """Generate synthetic tables, load them with integrity checks under
     ``<root>/tables``, and build every mart under ``<root>/marts``."""

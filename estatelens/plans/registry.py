@@ -25,7 +25,7 @@ ANALYTICS: dict[str, Job] = {
     # customer management
     "interactions_to_close_buckets": customer.interactions_to_close_buckets,
     "pending_contract_timeline": customer.pending_contract_timeline,
-    "customer_pipeline": customer.customer_pipeline,
+    "customer_lead_activity": customer.customer_lead_activity,
     # property & inventory
     "active_inventory_ppsf": inventory.active_inventory_ppsf,
     "units_near_grade_a_high_school": inventory.units_near_grade_a_high_school,
@@ -42,7 +42,7 @@ ANALYTICS: dict[str, Job] = {
     "two_bedroom_price_trend": market.two_bedroom_price_trend,
     "asking_vs_accepted_offer": market.asking_vs_accepted_offer,
     "rental_vs_sale_demand": market.rental_vs_sale_demand,
-    "pipeline_conversion": market.pipeline_conversion,
+    "listing_stage_conversion": market.listing_stage_conversion,
     "time_on_market": market.time_on_market,
 }
 

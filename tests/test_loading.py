@@ -23,8 +23,8 @@ def test_load_read_back_and_marts(spark, tmp_path):
             [(f.name, f.dataType) for f in df.schema]
         assert stored[name].exceptAll(df).count() == 0
     paths = marts.build_marts(stored, str(tmp_path / "marts"), "2024-02-01",
-                              names=["walkability_split", "pipeline_conversion"])
-    assert spark.read.parquet(paths["pipeline_conversion"]).count() > 0
+                              names=["walkability_split", "listing_stage_conversion"])
+    assert spark.read.parquet(paths["listing_stage_conversion"]).count() > 0
 
 
 def test_append_rejects_bad_rows_and_replay_is_idempotent(spark, tmp_path):
@@ -93,7 +93,7 @@ def test_command_line_load_query_check(spark, tmp_path, capsys):
     assert main(["check", "--tables", root, "--out", str(tmp_path / "c")]) == 0
     assert spark.read.parquet(str(tmp_path / "c")).where("violations > 0").count() == 0
     assert main(["list"]) == 0
-    assert "pipeline_conversion" in capsys.readouterr().out
+    assert "listing_stage_conversion" in capsys.readouterr().out
 
 
 def test_date_filtered_tables_are_laid_out_by_date(spark, tmp_path):
@@ -124,13 +124,13 @@ def test_date_filtered_tables_are_laid_out_by_date(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-def test_run_pipeline_builds_every_mart(spark, tmp_path):
+def test_run_end_to_end_builds_every_mart(spark, tmp_path):
     from estatelens.plans.registry import ANALYTICS
 
-    out = marts.run_pipeline(spark, str(tmp_path), scale=1.0, seed=12)
+    out = marts.run_end_to_end(spark, str(tmp_path), scale=1.0, seed=12)
     assert all(v == 0 for v in out["rejected"].values())
     assert set(out["marts"]) == set(ANALYTICS)
     stored = catalog.read_tables(spark, str(tmp_path / "tables"))
-    for name in ("walkability_split", "pipeline_conversion", "agent_commissions"):
+    for name in ("walkability_split", "listing_stage_conversion", "agent_commissions"):
         got = spark.read.parquet(out["marts"][name])
         assert got.exceptAll(ANALYTICS[name](stored, "2024-02-01")).count() == 0

@@ -11,7 +11,7 @@ from test_random_oracle import _tables
 
 # job -> ORDER BY (column, direction); keys that are not output are omitted
 ORDER = {
-    "customer_pipeline": [("leads_in_pipeline", "desc")],
+    "customer_lead_activity": [("leads_in_pipeline", "desc")],
     "active_inventory_ppsf": [("listing_type", "asc"), ("avg_price_per_sqft", "desc")],
     "units_near_grade_a_high_school": [("housing_units_within_zipcode", "desc")],
     "neighborhood_price_appreciation": [("avg_price_appreciation_pct", "desc")],
@@ -23,7 +23,7 @@ ORDER = {
     "ny_ppsf_by_property_type": [("property_type", "asc"), ("avg_price_per_sqft", "desc")],
     "two_bedroom_price_trend": [("listing_month", "desc"), ("neighborhood_name", "asc")],
     "asking_vs_accepted_offer": [("total_completed_sales", "desc")],
-    "pipeline_conversion": [("listing_type", "asc"), ("inquiry_to_closure_pct", "desc")],
+    "listing_stage_conversion": [("listing_type", "asc"), ("inquiry_to_closure_pct", "desc")],
     "time_on_market": [("listing_type", "asc"), ("avg_days_on_market", "asc")],
 }
 

@@ -24,7 +24,7 @@ def lst(i, p, ltype="Sale", status="Active", price="100.00", date="2023-06-01",
                 close_date=d(close))
 
 
-def test_customer_pipeline_no_fanout_and_lost_only_absent(spark):
+def test_customer_lead_activity_no_fanout_and_lost_only_absent(spark):
     t = tables(
         spark,
         customers=[dict(customer_id=i, first_name="f", last_name="l", email=f"e{i}",
@@ -37,7 +37,7 @@ def test_customer_pipeline_no_fanout_and_lost_only_absent(spark):
         contracts=[dict(contract_id=1, offer_id=1, contract_type="purchase",
                         contract_date=d("2023-02-01"), contract_status="closed")],
     )
-    rows = customer.customer_pipeline(t).collect()
+    rows = customer.customer_lead_activity(t).collect()
     assert [(r.email, r.leads_in_pipeline, r.offers_submitted, r.contracts, r.deals_closed)
             for r in rows] == [("e1", 2, 3, 1, 1)]
 
@@ -163,14 +163,14 @@ def test_rental_demand_drops_sale_only_neighborhoods(spark):
         ("N1", 1, 1, Decimal("0.00"), None)]
 
 
-def test_pipeline_without_inquiries_has_null_pct(spark):
+def test_stage_conversion_without_inquiries_has_null_pct(spark):
     t = tables(spark, neighborhoods=[nb(1)], properties=[prop(1, 1)],
                listings=[lst(1, 1, date="2023-06-01")],
                offers=[dict(offer_id=1, customer_id=1, listing_id=1, offer_price=D(1),
                             offer_date=d("2023-06-02"), status="accepted")],
                contracts=[dict(contract_id=1, offer_id=1, contract_type="purchase",
                                contract_date=d("2023-06-03"), contract_status="closed")])
-    r = market.pipeline_conversion(t, AS_OF).first()
+    r = market.listing_stage_conversion(t, AS_OF).first()
     assert (r.total_listings, r.with_inquiries, r.with_offers, r.offers_accepted,
             r.deals_closed, r.inquiry_to_closure_pct) == (1, 0, 1, 1, 1, None)
 
