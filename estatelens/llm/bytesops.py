@@ -23,11 +23,12 @@ ITEM_WORD[0x30:0x3A] = ITEM_WORD[0x61:0x7B] = ITEM_WORD[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-CHUNK = 2 << 20
+#: Text bytes worked on at a time; temporary arrays take some 100 times this.
+CHUNK = 1 << 19
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK,
-           order: str | None = None, rows: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+           order=None, rows: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with at most ``limit`` text bytes (one longer
     document is a slice of its own) and ``rows`` rows: rows, bytes, offsets.
     ``order`` sorts the rows of a batch by that column first."""
@@ -37,8 +38,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
         if order:
             batch = batch.sort_by(order)
         i = batch.schema.get_field_index(text)
-        arr = pc.fill_null(batch.column(i).cast(pa.large_string()), "")
-        offsets = np.frombuffer(arr.buffers()[1], dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1]
+        arr = batch.column(i)
+        if arr.null_count:
+            arr = pc.fill_null(arr, "")
+        width = np.int64 if pa.types.is_large_string(arr.type) else np.int32
+        offsets = np.frombuffer(arr.buffers()[1], dtype=width)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)
         raw = arr.buffers()[2]
         data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
         at = 0

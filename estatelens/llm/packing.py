@@ -23,7 +23,7 @@ from estatelens.llm.bytesops import SPACE, chunks
 SEQUENCE = 1024
 END_ID = 0
 #: Units whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 150_000
 
 # White space beyond ASCII, and control characters that some libraries call
 # white space: a text that holds one is tokenised as a whole.
@@ -50,7 +50,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._known: dict[bytes, np.ndarray] = {}
+        self._known: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -79,10 +79,10 @@ class Encoder:
             self._known.clear()
             missing = words
         for w, ids in zip(missing, self._whole([w.decode() for w in missing])):
-            self._known[w] = ids
+            self._known[w] = ids.tobytes()
         pieces = [self._known[w] for w in words]
-        size = np.array([len(p) for p in pieces], np.int64)
-        flat = np.concatenate(pieces)
+        size = np.array([len(p) for p in pieces], np.int64) // 4
+        flat = np.frombuffer(b"".join(pieces), np.uint32)
         which = units.indices.to_numpy()
         n = size[which]
         ids = flat[np.repeat((np.cumsum(size) - size)[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import decontaminate, exact_dedup, language, packing, simhash
+from estatelens.llm import decontaminate, exact_dedup, language, packing, simhash, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -38,6 +38,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir, "doc_id", "text"), with_ids=False)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word windows that occur twice, removed from all documents."""
+    found = substring_dedup.substring_dedup(_documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies of byte strings, removed from all documents."""
+    found = suffix_dedup.suffix_dedup(_documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents, dropped rows included."""
     found = exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
@@ -45,5 +57,5 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_language, op4_simhash, op5_packing, op9_exact_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_language, op4_simhash, op5_packing, op6_substring_dedup, op7_suffix_dedup, op9_exact_dedup)
 }
