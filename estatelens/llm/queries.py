@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import decontaminate, exact_dedup, language, packing, simhash, substring_dedup, suffix_dedup
+from estatelens.llm import chat, decontaminate, exact_dedup, html_extract, language, packing, simhash, substring_dedup, suffix_dedup, url_filter
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: given rules, then rules mined from labels."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    rules = url_filter.mine(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return url_filter.url_filter(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and near-duplicate components of all documents."""
     found = simhash.simhash_components(_documents(spark, sf_dir, "doc_id", "text"))
@@ -50,12 +57,27 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents, dropped rows included."""
     found = exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from every participant's perspective."""
+    found = chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws("+", m["first"].cast("string"), m["length"].cast("string"))), ",")
+    return found.select("conv_id", "speaker", "part", "lane", "n_turns", "text", mask.alias("mask"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_language, op4_simhash, op5_packing, op6_substring_dedup, op7_suffix_dedup, op9_exact_dedup)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_language, op3_url_filter, op4_simhash, op5_packing, op6_substring_dedup, op7_suffix_dedup,
+        op8_html_extract, op9_exact_dedup, op10_chat_format)
 }

@@ -34,5 +34,26 @@ WITH h AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM h WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op10_chat_format": """
+WITH t AS (
+  SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         CAST(floor(coalesce(turn, -1) / 256) AS BIGINT) AS part
+  FROM conversations
+), s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
+), r AS (
+  SELECT t.conv_id, speaker, part, turn, role, text, role = speaker AS own,
+         CASE WHEN role = speaker THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
+              ELSE '<|user|>' || chr(10) || role || ': ' END AS head
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), o AS (
+  SELECT *, row_number() OVER w AS k,
+         sum(length(head) + length(text) + 8) OVER w - length(text) - 8 AS first
+  FROM r WINDOW w AS (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, speaker, part, CAST(0 AS BIGINT) AS lane, count(*) AS n_turns,
+       string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY k) AS text,
+       coalesce(string_agg(CAST(first AS BIGINT) || '+' || (length(text) + 7), ',' ORDER BY k) FILTER (WHERE own), '') AS mask
+FROM o GROUP BY conv_id, speaker, part
 """,
 }
