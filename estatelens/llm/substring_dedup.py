@@ -67,7 +67,7 @@ def build_filter(hashes: DataFrame, max_bits: int = MAX_FILTER_BITS) -> Filter:
              .select("part", F.col("x.at").alias("at"), F.col("x.value").alias("value")))
     out = Filter(bits)
     for r in parts.mapInArrow(pack, "part long, at binary, value binary").collect():  # bounded by max_bits
-        out.words[r["part"] * words + np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.int64).view(np.uint64)
+        out.words[r["part"] * words + np.frombuffer(r["at"], np.uint16).astype(np.int64)] = np.frombuffer(r["value"], np.int64).view(np.uint64)
     return out
 
 
