@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Largest table (estimated bytes) sent to every executor.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def scratch(spark: SparkSession) -> str:

@@ -236,17 +236,40 @@ def _matched(open_rows: DataFrame) -> DataFrame:
 
 
 
+def merged_runs(parts: DataFrame) -> DataFrame:
+    """(doc_id, key, runs) from (doc_id, key, first, last): each document's
+    ranges merged, as 32-bit pairs of first and last."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for first, last in zip(batch.column(2), batch.column(3)):
+                f, to = first.values.to_numpy(), last.values.to_numpy()
+                order = np.argsort(f, kind="stable")
+                f, to = f[order], np.maximum.accumulate(to[order])
+                new = np.flatnonzero(np.concatenate([[True], f[1:] > to[:-1] + 1]))
+                out.append(np.stack([f[new], to[np.append(new[1:], len(f)) - 1]], axis=1).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "key", "runs"])
+
+    kind = parts.schema["doc_id"].dataType.simpleString()
+    grouped = parts.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last")).alias("x"))
+    return grouped.select("doc_id", "key", "x.first", "x.last").mapInArrow(task, f"doc_id {kind}, key long, runs binary")
+
+
+def run_pairs(runs: bytes | None) -> np.ndarray:
+    return np.frombuffer(runs or b"", np.int32).reshape(-1, 2)
+
+
 def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, key, runs): where windows start that also start elsewhere,
-    as (first, last) word positions, for rows of :func:`key_of`."""
+    in words, for rows of :func:`key_of`; runs as :func:`merged_runs`."""
     spark = docs.sparkSession
     index = spark.sparkContext.broadcast(build_filter(cut(_blocks(docs, window))))
     again = spark.sparkContext.broadcast(build_filter(cut(_repeated_blocks(docs, index, window))))
     found = cut(_candidates(docs, again, window))
     settled = found.where("h is null").select("doc_id", "key", "first", "last")
     met = _matched(found.where("h is not null")).select("doc_id", "key", "first", F.col("first").alias("last"))
-    return (settled.unionByName(met).groupBy("doc_id", "key")
-            .agg(F.collect_list(F.struct("first", "last")).alias("runs")))
+    return merged_runs(settled.unionByName(met))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -269,7 +292,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     alone = marked.where(F.col("rows").isNull() | F.col("doc_id").eqNullSafe(F.col("least"))).select("doc_id", "key", "text")
     removal = cut(repeated_runs(alone, window))
     found = removal.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "runs")
-    joined = marked.join(small_or_shuffled(found, 400), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
+    joined = marked.join(small_or_shuffled(found, 120), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in chunks(batches):
@@ -277,12 +300,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             texts, removed = [], []
             for d, (lost, run) in enumerate(zip(rows.column(2).to_pylist(), rows.column(3).to_pylist())):
                 s, e = starts[first[d]:first[d + 1]], ends[first[d]:first[d + 1]]
-                gone = np.zeros(len(s) + 1, np.int64)
+                gone = np.zeros(len(s) + 1, np.int64)  # +1 where a run of windows begins, -1 where it ends
                 if lost and len(s) >= window:
                     gone[0] = 1
-                for r in run or ():
-                    gone[r["first"]] += 1
-                    gone[min(r["last"] + window, len(s))] -= 1
+                for f, to in run_pairs(run).tolist():
+                    gone[f] += 1
+                    gone[to + window] -= 1
                 keep = np.cumsum(gone[:-1]) == 0
                 texts.append(b" ".join([data[i:j].tobytes() for i, j in zip(s[keep].tolist(), e[keep].tolist())]))
                 removed.append(len(s) - int(keep.sum()))

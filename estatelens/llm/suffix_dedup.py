@@ -21,17 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.bytesops import Filter, Rolling, byte_values, chunks, covered, runs
 from estatelens.llm.shared import cut, small_or_shuffled
-from estatelens.llm.substring_dedup import build_filter, copies, key_of, with_copies
+from estatelens.llm.substring_dedup import build_filter, copies, key_of, merged_runs, run_pairs, with_copies
 
 WINDOW = 100
 GRAM = 32
 #: String bytes ordered at a time.
-GROUP = 1 << 21
+GROUP = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -122,7 +123,7 @@ def _strings(docs: DataFrame, repeated, window: int, gram: int) -> DataFrame:
 def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """Ranks, in lexicographic order, of the strings of ``length`` bytes that
     start at ``at``; equal strings share a rank.  Prefix doubling: ranks of
-    8 bytes, then of three neighbours at a time."""
+    8 bytes, then of two to four neighbours at a time."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(length + 8, np.uint8)]).astype(np.uint64)
     key = np.zeros(n + length, np.uint64)
@@ -131,7 +132,7 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     have = min(8, length)
     rank = np.unique(key, return_inverse=True)[1]
     while have < length:
-        ways = 3 if len(rank) < 1 << 20 or rank.max() < 1 << 20 else 2
+        ways = 4 if rank.max() < (1 << 15) else 3 if rank.max() < 1 << 20 else 2
         step = min(have, -(-(length - have) // (ways - 1)))  # the parts overlap where the length asks for it
         shifts = [min(step * i, length - have) for i in range(ways)]
         final = shifts[-1] + have >= length
@@ -180,6 +181,23 @@ def _later(t: pa.Table, window: int) -> tuple[np.ndarray, ...]:
     return order, later, row, inside, at, text, start
 
 
+def _distinct(t: pa.Table, window: int) -> tuple[pa.Table, pa.RecordBatch]:
+    """The first row of each string, and the windows of the others: rows are
+    in order of position within a minimizer, so all of those are later."""
+    code = t.column("string").combine_chunks().dictionary_encode().indices.to_numpy()
+    _, one, back = np.unique(code, return_index=True, return_inverse=True)
+    last = np.iinfo(np.int64).max
+    ids = [t.column("doc_id").fill_null(last).to_numpy(), t.column("key").to_numpy(), t.column("first").to_numpy()]
+    twice = ~np.logical_and.reduce([x == x[one[back]] for x in ids])
+    rest = t.filter(pa.array(twice))
+    first = rest.column("first").to_numpy()
+    n = pc.binary_length(rest.column("string")).to_numpy().astype(np.int32)
+    gone = pa.RecordBatch.from_arrays(
+        [rest.column("doc_id").combine_chunks(), rest.column("key").combine_chunks(), pa.array(first), pa.array(first + n - np.int32(window))],
+        names=["doc_id", "key", "first", "last"])
+    return t.take(pa.array(np.sort(one))), gone
+
+
 def _repeats(strings: DataFrame, window: int) -> DataFrame:
     """Windows (first to last) that repeat an earlier one of another chunk.
 
@@ -188,6 +206,7 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
     piece by piece; of every distinct window the earliest is carried on."""
 
     def settle(t: pa.Table, carry: bool = False) -> tuple[pa.RecordBatch, pa.Table | None]:
+        t, same = _distinct(t, window)
         order, later, row, inside, at, text, start = _later(t, window)
         gone = order[later]
         gone = gone[np.lexsort((start[gone], row[gone]))]
@@ -198,6 +217,7 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
         out = pa.RecordBatch.from_arrays(
             [t.column("doc_id").combine_chunks().take(who), t.column("key").combine_chunks().take(who),
              pa.array(start[a].astype(np.int32)), pa.array(start[b].astype(np.int32))], names=["doc_id", "key", "first", "last"])
+        out = pa.concat_batches([out, same])
         if not carry:
             return out, None
         first = order[~later]
@@ -240,7 +260,7 @@ def later_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     found = cut(_strings(docs, repeated, window, gram))
     settled = found.where("h is null").select("doc_id", "key", "first", "last")
     met = _repeats(found.where("h is not null"), window)
-    return settled.unionByName(met).groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    return merged_runs(settled.unionByName(met))
 
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int | None = None) -> DataFrame:
@@ -262,7 +282,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int | None = None)
     whole = F.col("rows").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("least"))
     removal = cut(later_windows(marked.where(~whole).select("doc_id", "key", "text"), window, gram))
     found = removal.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "runs")
-    joined = marked.join(small_or_shuffled(found, 400), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
+    joined = marked.join(small_or_shuffled(found, 120), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in chunks(batches):
@@ -273,7 +293,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int | None = None)
                 if lost and n >= window:
                     gone = np.ones(n, bool)
                 elif run and not lost:
-                    r = np.array([(x["first"], x["last"]) for x in run])
+                    r = run_pairs(run).astype(np.int64)
                     gone = covered(n, r[:, 0], r[:, 1] + window)
                 else:
                     gone = np.zeros(n, bool)
