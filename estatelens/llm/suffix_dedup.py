@@ -203,7 +203,8 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
 
     Strings arrive sorted by minimizer and are ordered in groups of whole
     minimizers.  One with more strings than a group holds is worked through
-    piece by piece; of every distinct window the earliest is carried on."""
+    piece by piece: strings with a window that is the earliest so far are
+    carried on, and the next piece is at least as long as what is carried."""
 
     def settle(t: pa.Table, carry: bool = False) -> tuple[pa.RecordBatch, pa.Table | None]:
         t, same = _distinct(t, window)
@@ -220,20 +221,17 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
         out = pa.concat_batches([out, same])
         if not carry:
             return out, None
-        first = order[~later]
-        keep = t.select(["doc_id", "key", "first", "h"]).take(pa.array(row[first]))
-        keep = keep.set_column(2, "first", pa.array(start[first].astype(np.int32)))
-        return out, keep.append_column("string", pa.array([text[i:i + window].tobytes() for i in at[first].tolist()], pa.binary()))
+        return out, t.take(pa.array(np.unique(row[order[~later]])))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, enough = 0, GROUP
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
                 held.append(part)
                 size += part.column("string").nbytes
-                if size < GROUP:
+                if size < enough:
                     continue
                 t = pa.Table.from_batches(held)
                 h = t.column("h").to_numpy()
@@ -246,7 +244,7 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
                     yield out
                 held = rest.combine_chunks().to_batches()
                 size = sum(b.column("string").nbytes for b in held)
-                size = size if open_at else min(size, GROUP // 2)
+                enough = max(GROUP, 2 * size)
         if held:
             yield settle(pa.Table.from_batches(held))[0]
 
