@@ -22,13 +22,19 @@ from estatelens.llm.bytesops import SPACE, chunks
 
 SEQUENCE = 1024
 END_ID = 0
-#: Units whose ids a worker remembers.
-MEMORY = 150_000
+#: Units whose ids a worker remembers: the first it meets, which are mostly
+#: the frequent ones.  Others are encoded each time.
+MEMORY = 400_000
 
 # White space beyond ASCII, and control characters that some libraries call
 # white space: a text that holds one is tokenised as a whole.
 _ODD_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
+_ALNUM = np.zeros(256, bool)
+_ALNUM[0x30:0x3A] = _ALNUM[0x41:0x5B] = _ALNUM[0x61:0x7B] = True
+_MARK = np.zeros(256, bool)
+_MARK[0x21:0x7F] = ~_ALNUM[0x21:0x7F]
+
 
 def public_tokenizer_path() -> str:
     """The default tokenizer's file on this machine (never copied)."""
@@ -41,7 +47,8 @@ class Encoder:
     """Token ids of whole texts.
 
     Byte-level BPE splits a text before it merges, and a split always falls
-    before white space that follows a character that is none.  Units between
+    before white space that follows a character that is none, and between an
+    ASCII letter or digit and an ASCII mark.  Units between
     such places are encoded once and looked up afterwards; equal results to
     encoding whole texts are tested."""
 
@@ -68,19 +75,17 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         white = SPACE[data]
         new = np.zeros(len(data), bool)
-        new[1:] = white[1:] & ~white[:-1]
+        new[1:] = (white[1:] & ~white[:-1]) | (_MARK[data[1:]] & _ALNUM[data[:-1]])
         new[offsets[:-1][offsets[:-1] < len(data)]] = True
         begin = np.flatnonzero(new)
         units = pa.Array.from_buffers(pa.binary(), len(begin), [
             None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         words = units.dictionary.to_pylist()
         missing = [w for w in words if w not in self._known]
-        if len(self._known) + len(missing) > MEMORY:
-            self._known.clear()
-            missing = words
-        for w, ids in zip(missing, self._whole([w.decode() for w in missing])):
-            self._known[w] = ids.tobytes()
-        pieces = [self._known[w] for w in words]
+        new_ids = {w: ids.tobytes() for w, ids in zip(missing, self._whole([w.decode() for w in missing]))}
+        pieces = [self._known.get(w) or new_ids[w] for w in words]
+        if len(self._known) < MEMORY:
+            self._known.update(new_ids)
         size = np.array([len(p) for p in pieces], np.int64) // 4
         flat = np.frombuffer(b"".join(pieces), np.uint32)
         which = units.indices.to_numpy()
