@@ -146,7 +146,7 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         have += shifts[-1]
         if final:
             return rank
-    return rank[at]
+    return np.unique(rank[at], return_inverse=True)[1]
 
 
 def previous_factor(rank: np.ndarray, *position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
