@@ -84,7 +84,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.out:
             report.write.mode("overwrite").parquet(args.out)
         else:
-            report.where("violations > 0").show(200, truncate=False)
+            found = report.where("violations > 0")
+            found.show(found.count(), truncate=False)
         return 0
     return 1
 

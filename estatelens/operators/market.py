@@ -84,13 +84,16 @@ def two_bedroom_price_trend(t: Tables, as_of=None) -> DataFrame:
         "property_id", "neighborhood_id"
     )
     nb = t["neighborhoods"].select("neighborhood_id", "neighborhood_name")
+    # an aggregate right after the property join: its exchange spreads a hot
+    # neighborhood before names and the window meet it
     monthly = (
-        _to_geo(per_property, props, nb)
-        .groupBy("listing_month", "neighborhood_name", "neighborhood_id")
+        per_property.join(props, "property_id")
+        .groupBy("neighborhood_id", "listing_month")
         .agg(
             F.count("property_id").alias("total_2br_properties"),
             mean_of_parts(F.sum("price_sum"), F.sum("price_n")).alias("avg_price"),
         )
+        .join(nb, "neighborhood_id")
     )
     # One row per (neighborhood, month) after the aggregate, so the window
     # partitions are bounded by the number of months.

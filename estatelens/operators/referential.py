@@ -59,7 +59,9 @@ def delete_cascade(t: Tables, table: str, keys: DataFrame, materialize: bool = T
     pk = TABLES[table].primary_key
     out = dict(t)
     res = DeleteResult(out)
-    res.deleted[table] = _materialize(keys.select(F.col(keys.columns[0]).alias(pk)).distinct(), materialize)
+    wanted = keys.select(F.col(keys.columns[0]).alias(pk))
+    present = t[table].select(pk).join(wanted, pk, "left_semi").distinct()
+    res.deleted[table] = _materialize(present, materialize)
     for tb in LOAD_ORDER:
         df = t[tb.name]
         sources = []
@@ -121,8 +123,14 @@ def _one_row(name: str, deleted: DataFrame, nulled: DataFrame) -> DataFrame:
 def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
     """ON UPDATE CASCADE: renumber ``table``'s primary key with ``mapping``
     (columns ``old_key``, ``new_key``; injective) and carry the new values
-    into every referencing column.  Unmapped keys stay as they are."""
+    into every referencing column.  Unmapped keys stay as they are.
+
+    A mapping that gives an old key two new ones, or a new key that another
+    row of the table has or gets, is refused with ValueError."""
     pk = TABLES[table].primary_key
+    pairs = mapping.select("old_key", "new_key").distinct()
+    if pairs.groupBy("old_key").count().where("count > 1").take(1):
+        raise ValueError("mapping gives an old key more than one new key")
     m = mapping.select(F.col("old_key").alias("__old"), F.col("new_key").alias("__new")).distinct()
 
     def remap(df: DataFrame, col: str, cols: list[str]) -> DataFrame:
@@ -131,6 +139,8 @@ def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
 
     out = dict(t)
     out[table] = remap(t[table], pk, TABLES[table].column_names)
+    if out[table].groupBy(pk).count().where("count > 1").take(1):
+        raise ValueError(f"mapping makes {pk} ambiguous")
     for child, fk in children_of(table):
         out[child.name] = remap(out[child.name], fk.column, child.column_names)
     return out
@@ -152,26 +162,18 @@ def renter_customer_purge(t: Tables, as_of=None) -> DataFrame:
     return delete_report(delete_cascade(t, "customers", keys))
 
 
-def agent_renumbering(t: Tables, as_of=None, offset: int = 1_000_000) -> DataFrame:
-    """Move every agent id into a new block (id + offset) and report, per
-    table, its rows and the rows now referencing a renumbered agent."""
+def agent_renumbering(t: Tables, as_of=None) -> DataFrame:
+    """Mirror the agent ids above the largest one (no constant shift, so a
+    wrong remap changes the sums) and report, per table, its rows, the rows
+    now referencing a renumbered agent, and the sum of the key column."""
+    top = t["agents"].agg(F.max("agent_id")).first()[0] or 0
     mapping = t["agents"].select(
-        F.col("agent_id").alias("old_key"), (F.col("agent_id") + offset).alias("new_key")
-    )
+        F.col("agent_id").alias("old_key"), (F.lit(2 * top + 1) - F.col("agent_id")).alias("new_key"))
     out = rekey(t, "agents", mapping)
-    parts = [
-        out["agents"].agg(
-            F.lit("agents").alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_if(F.col("agent_id") >= offset).alias("renumbered_references"),
-        )
-    ]
-    for child, fk in children_of("agents"):
-        parts.append(
-            out[child.name].agg(
-                F.lit(child.name).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.count_if(F.col(fk.column) >= offset).alias("renumbered_references"),
-            )
-        )
+    parts = []
+    for name, column in [("agents", "agent_id")] + [(c.name, fk.column) for c, fk in children_of("agents")]:
+        moved = F.col(column).between(top + 1, 2 * top)
+        parts.append(out[name].agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+            F.count_if(moved).alias("renumbered_references"), F.sum(column).cast("bigint").alias("key_sum")))
     return reduce(DataFrame.unionByName, parts)

@@ -110,18 +110,29 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> DataFrame:
     """``df`` plus a ``failed_rules`` array (empty = the row may be stored).
 
-    Row rules first (defaults applied), then PRIMARY KEY / UNIQUE duplicates
-    among the rows that pass them (and, for appends, against
-    ``parents[table]`` - the rows already stored), then foreign keys against
-    the stored parents.  Every check is a column expression, an aggregation
-    or a left join to a de-duplicated key set, so the batch is tagged in one
-    pipeline and no join can multiply rows."""
+    Row rules first (defaults applied), then foreign keys against the stored
+    parents, then PRIMARY KEY / UNIQUE duplicates among the rows that pass
+    both (and, for appends, against ``parents[table]`` - the rows already
+    stored), so an orphan rejects no other row.  Every check is a column
+    expression, an aggregation or a left join to a de-duplicated key set, so
+    the batch is tagged in one pipeline and no join can multiply rows."""
     tagged, _ = split(apply_defaults(df, table), table, keep_tagged=True)
     rules = F.col("failed_rules")
 
     def flag(cond, rule_id: str):
         return F.when(cond, F.array_append(rules, F.lit(rule_id))).otherwise(rules)
 
+    for fk in table.foreign_keys:
+        parent = parents.get(fk.parent)
+        if parent is None:
+            continue
+        # stored parents passed their key check: unique keys, no fan-out
+        keys = parent.select(F.col(fk.parent_column).alias("__pk"), F.lit(True).alias("__hit"))
+        col = F.col(fk.column)
+        tagged = (tagged.join(keys, col == F.col("__pk"), "left")
+                  .withColumn("failed_rules", flag(col.isNotNull() & F.col("__hit").isNull(),
+                                                   f"foreign_key:{fk.column}->{fk.parent}"))
+                  .drop("__pk", "__hit"))
     existing = parents.get(table.name)
     for rule_id, cols in key_rules(table):
         cols = list(cols)
@@ -134,17 +145,6 @@ def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
         tagged = (tagged.join(dup, cols, "left")
                   .withColumn("failed_rules", flag(F.col("__dup") & (F.size(rules) == 0), rule_id))
                   .drop("__dup"))
-    for fk in table.foreign_keys:
-        parent = parents.get(fk.parent)
-        if parent is None:
-            continue
-        # stored parents passed their key check: unique keys, no fan-out
-        keys = parent.select(F.col(fk.parent_column).alias("__pk"), F.lit(True).alias("__hit"))
-        col = F.col(fk.column)
-        tagged = (tagged.join(keys, col == F.col("__pk"), "left")
-                  .withColumn("failed_rules", flag(col.isNotNull() & F.col("__hit").isNull(),
-                                                   f"foreign_key:{fk.column}->{fk.parent}"))
-                  .drop("__pk", "__hit"))
     return tagged.select(*table.column_names, "failed_rules")
 
 
@@ -171,6 +171,17 @@ def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: i
         .partitionBy(BATCH_COL).parquet(table_path(root, table)))
 
 
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The rows of ``table`` under ``root``; none if it was never loaded, so
+    that every reference to it is an orphan."""
+    try:
+        return read_table(spark, root, table)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], TABLES[table].schema)
+
+
 def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 batch: int = 0, append: bool = False) -> dict[str, int]:
     """Check and write ``tables`` parents first; returns rejected-row counts.
@@ -187,8 +198,8 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
         for fk in t.foreign_keys:
             if fk.parent in stored:
                 parents[fk.parent] = stored[fk.parent]
-            elif append:
-                parents[fk.parent] = read_table(spark, root, fk.parent)
+            else:
+                parents[fk.parent] = _stored(spark, root, fk.parent)
         if append:
             parents[t.name] = read_table(spark, root, t.name, exclude_batch=batch)
         tagged = check_rows(tables[t.name], t, parents).persist(StorageLevel.MEMORY_AND_DISK)
