@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.bytesops import SPACE, chunks
+from estatelens.llm.bytesops import CHUNK, SPACE, chunks
 
 SEQUENCE = 1024
 END_ID = 0
 #: Units whose ids a worker remembers: the first it meets, which are mostly
 #: the frequent ones.  Others are encoded each time.
-MEMORY = 400_000
+MEMORY = 500_000
 
 # White space beyond ASCII, and control characters that some libraries call
 # white space: a text that holds one is tokenised as a whole.
@@ -122,7 +122,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, longest: int = SEQU
         encoder = Encoder(path or public_tokenizer_path())
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=2 * CHUNK):
             texts = pc.fill_null(rows.column(1).cast(pa.large_string()), "")
             ids, n_ids = encoder.chunk(texts, data, offsets)
             first = np.cumsum(n_ids) - n_ids
