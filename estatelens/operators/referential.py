@@ -163,15 +163,17 @@ def renter_customer_purge(t: Tables, as_of=None) -> DataFrame:
 
 
 def agent_renumbering(t: Tables, as_of=None) -> DataFrame:
-    """Mirror the agent ids above the largest one (no constant shift, so a
-    wrong remap changes the sums) and report, per table, its rows, the rows
+    """Mirror the agent ids above the largest one in use, orphan references
+    included (no constant shift, so a wrong remap changes the sums), and report, per table, its rows, the rows
     now referencing a renumbered agent, and the sum of the key column."""
-    top = t["agents"].agg(F.max("agent_id")).first()[0] or 0
+    used = [("agents", "agent_id")] + [(c.name, fk.column) for c, fk in children_of("agents")]
+    tops = reduce(DataFrame.unionByName, [t[name].agg(F.max(column).alias("top")) for name, column in used])
+    top = tops.agg(F.max("top")).first()[0] or 0
     mapping = t["agents"].select(
         F.col("agent_id").alias("old_key"), (F.lit(2 * top + 1) - F.col("agent_id")).alias("new_key"))
     out = rekey(t, "agents", mapping)
     parts = []
-    for name, column in [("agents", "agent_id")] + [(c.name, fk.column) for c, fk in children_of("agents")]:
+    for name, column in used:
         moved = F.col(column).between(top + 1, 2 * top)
         parts.append(out[name].agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
