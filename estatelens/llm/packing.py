@@ -8,8 +8,11 @@ sequence crosses documents and none needs padding.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,8 @@ class Encoder:
     encoding whole texts are tested."""
 
     def __init__(self, path: str):
+        # a worker has one core: threads of the tokenizer would only wait for each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -81,12 +86,14 @@ class Encoder:
         units = pa.Array.from_buffers(pa.binary(), len(begin), [
             None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         words = units.dictionary.to_pylist()
-        missing = [w for w in words if w not in self._known]
-        new_ids = {w: ids.tobytes() for w, ids in zip(missing, self._whole([w.decode() for w in missing]))}
-        pieces = [self._known.get(w) or new_ids[w] for w in words]
+        pieces = list(map(self._known.get, words))
+        missing = [i for i, p in enumerate(pieces) if p is None]
+        encoded = self._tokenizer.encode_batch_fast([words[i].decode() for i in missing], add_special_tokens=False)
+        for i, e in zip(missing, encoded):
+            pieces[i] = array("I", e.ids).tobytes()
         if len(self._known) < MEMORY:
-            self._known.update(new_ids)
-        size = np.array([len(p) for p in pieces], np.int64) // 4
+            self._known.update((words[i], pieces[i]) for i in missing)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
         flat = np.frombuffer(b"".join(pieces), np.uint32)
         which = units.indices.to_numpy()
         n = size[which]
@@ -95,6 +102,13 @@ class Encoder:
         return ids, np.diff(upto[np.searchsorted(begin, offsets)])
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: tasks that follow each other in a
+    worker share what it remembers."""
+    return Encoder(path)
+
+
 def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
     """n as full pieces and the powers of two of the rest, largest first."""
     rest = n % longest
@@ -119,12 +133,12 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, longest: int = SEQU
     path = tokenizer_path
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path or public_tokenizer_path())
+        encode = encoder(path or public_tokenizer_path()).chunk
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
         for rows, data, offsets in chunks(batches, limit=2 * CHUNK):
             texts = pc.fill_null(rows.column(1).cast(pa.large_string()), "")
-            ids, n_ids = encoder.chunk(texts, data, offsets)
+            ids, n_ids = encode(texts, data, offsets)
             first = np.cumsum(n_ids) - n_ids
             doc, start, length, crc, total, out = [], [], [], [], [], []
             for d, (a, n) in enumerate(zip(first.tolist(), n_ids.tolist())):
