@@ -141,7 +141,7 @@ class DriverTables(Mapping[str, DataFrame]):
         )
 
     def _schools(self) -> DataFrame:
-        p = self.src("part").where((F.col("p_partkey") % 10).isin(0, 3, 7))
+        p = self.src("part")
         k = F.col("p_partkey")
         return p.select(
             (k + 1).alias("school_id"),
@@ -167,14 +167,15 @@ class DriverTables(Mapping[str, DataFrame]):
             dec_frac(k % 70 + 30, 10, 2, 1, 4).alias("rooms"),
             dec_frac((k * 7) % 41 + 10, 10, 2, 1, 4).alias("bedroom"),
             dec_frac((k * 3) % 31 + 10, 10, 2, 1, 4).alias("bathroom"),
-            (F.col("p_size") * 75 + 450).alias("sqft"),
+            F.when(k % 23 != 0, F.col("p_size") * 75 + 450).alias("sqft"),
             (F.col("p_retailprice") * 1000).cast("decimal(14,2)").alias("price"),
         )
 
     @staticmethod
     def _listing_cols(o: Column, custkey: Column, totalprice: Column) -> list[Column]:
         prop = fdiv(o * 2, 15)
-        is_rent = prop % 4 == 3
+        # every fifth neighborhood has no rental
+        is_rent = (prop % 4 == 3) & (fdiv(prop, 10) % 5 != 0)
         listing_date = plus_days("2022-02-01", (o * 13) % 730)
         status = (
             F.when(custkey % 5 == 0, "Active")
@@ -206,14 +207,16 @@ class DriverTables(Mapping[str, DataFrame]):
         # One price change per line item.  The surrogate key is the line's
         # rank inside its order, offset by a multiple of the key range:
         # unique and ordered like (listing, line) without a global sort.
-        li = self.src("lineitem").where(F.round(F.col("l_discount") * 100) != 5)
+        li = self.src("lineitem")
         li = li.withColumn("listing_id", F.col("l_orderkey") + 1)
         w = Window.partitionBy("listing_id").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
         )
         key_range = self.src("orders").select(F.max("o_orderkey") + 1).scalar()
         old = F.col("l_extendedprice").cast("decimal(14,2)")
-        factor = (F.col("l_discount") + 0.95).cast("decimal(4,2)")
+        # a discount of 5 % would leave the price as it is: those are cut by 10 %
+        factor = F.when(F.round(F.col("l_discount") * 100) == 5, F.lit(0.9)).otherwise(
+            F.col("l_discount") + 0.95).cast("decimal(4,2)")
         listings = self["listings"].select("listing_id", "listing_date")
         return (
             li.withColumn("rn", F.row_number().over(w))
@@ -225,11 +228,11 @@ class DriverTables(Mapping[str, DataFrame]):
                 "listing_id",
                 old.alias("old_price"),
                 (old * factor).cast("decimal(14,2)").alias("new_price"),
-                F.timestamp_add(
+                F.when(F.col("l_partkey") % 37 != 0, F.timestamp_add(
                     "HOUR",
                     (F.col("l_partkey") % 2400).cast("int"),
                     F.col("listing_date").cast("timestamp_ntz"),
-                ).alias("change_date"),
+                )).alias("change_date"),
                 F.lit("Market feedback").alias("reason_for_change"),
             )
         )
@@ -250,7 +253,7 @@ class DriverTables(Mapping[str, DataFrame]):
         )
 
     def _leads(self) -> DataFrame:
-        o = self.src("orders").where(F.col("o_orderkey") % 3 == 0)
+        o = self.src("orders")
         k = F.col("o_orderkey")
         return o.select(
             (k + 1).alias("lead_id"),
@@ -284,7 +287,7 @@ class DriverTables(Mapping[str, DataFrame]):
         )
 
     def _offers(self) -> DataFrame:
-        o = self.src("orders").where(F.col("o_orderkey") % 4 != 0)
+        o = self.src("orders")
         k = F.col("o_orderkey")
         o = o.withColumn("listing_id", k - k % 3 + 1)
         listings = self["listings"].select("listing_id", "listing_price", "listing_date")
