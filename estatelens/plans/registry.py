@@ -46,11 +46,13 @@ ANALYTICS: dict[str, Job] = {
     "time_on_market": market.time_on_market,
 }
 
-# Data-quality reports: declared integrity rules over all 14 tables.
+# Data-quality reports: declared integrity rules over all 14 tables.  As
+# queries they read the tables with broken rows (sources.dirty_tables).
 QUALITY: dict[str, Job] = {
     "quality_row_rules": quality.row_rule_report,
     "quality_key_rules": quality.key_rule_report,
     "quality_foreign_keys": quality.foreign_key_report,
+    "quality_violations": quality.violation_report,
 }
 
 # Referential actions (ON DELETE CASCADE / SET NULL, ON UPDATE CASCADE).
