@@ -108,6 +108,21 @@ def delete_report(res: DeleteResult) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def survivor_report(res: DeleteResult) -> DataFrame:
+    """What a delete leaves, for the key and every foreign key column of
+    the 14 tables: (table_name, column_name, row_count, filled, key_sum).
+    One pass over each table that is left."""
+    parts = []
+    for tb in LOAD_ORDER:
+        names = [tb.primary_key] + [fk.column for fk in tb.foreign_keys]
+        sums = res.tables[tb.name].agg(F.count(F.lit(1)).alias("row_count"), *[
+            x for i, c in enumerate(names) for x in (F.count(c).alias(f"n{i}"), F.sum(c).cast("bigint").alias(f"s{i}"))])
+        columns = ", ".join(f"'{c}', n{i}, s{i}" for i, c in enumerate(names))
+        parts.append(sums.select(F.lit(tb.name).alias("table_name"), "row_count",
+                                 F.expr(f"stack({len(names)}, {columns}) AS (column_name, filled, key_sum)")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _one_row(name: str, deleted: DataFrame, nulled: DataFrame) -> DataFrame:
     # Two one-row aggregates side by side without a join: tag and pivot.
     both = deleted.select(F.lit("d").alias("k"), F.col("n").cast("bigint").alias("v")).unionByName(
@@ -147,19 +162,35 @@ def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
 
 
 # --- jobs registered as queries --------------------------------------------
+def _purge_withdrawn(t: Tables) -> DeleteResult:
+    return delete_cascade(t, "listings", t["listings"].where(F.col("listing_status") == "Withdrawn").select("listing_id"))
+
+
+def _purge_renters(t: Tables) -> DeleteResult:
+    return delete_cascade(t, "customers", t["customers"].where(F.col("customer_type") == "renter").select("customer_id"))
+
+
 def withdrawn_listing_purge(t: Tables, as_of=None) -> DataFrame:
     """Delete every Withdrawn listing: its price history, offers and their
     contracts go with it, interactions keep their rows with listing_id NULL."""
-    keys = t["listings"].where(F.col("listing_status") == "Withdrawn").select("listing_id")
-    return delete_report(delete_cascade(t, "listings", keys))
+    return delete_report(_purge_withdrawn(t))
+
+
+def withdrawn_listing_purge_survivors(t: Tables, as_of=None) -> DataFrame:
+    """Rows, keys and references that are left after that purge."""
+    return survivor_report(_purge_withdrawn(t))
 
 
 def renter_customer_purge(t: Tables, as_of=None) -> DataFrame:
     """Delete every renter customer: leads, interactions, offers and the
     offers' contracts follow; other customers' interactions on the deleted
     leads keep their rows with lead_id NULL."""
-    keys = t["customers"].where(F.col("customer_type") == "renter").select("customer_id")
-    return delete_report(delete_cascade(t, "customers", keys))
+    return delete_report(_purge_renters(t))
+
+
+def renter_customer_purge_survivors(t: Tables, as_of=None) -> DataFrame:
+    """Rows, keys and references that are left after that purge."""
+    return survivor_report(_purge_renters(t))
 
 
 def agent_renumbering(t: Tables, as_of=None) -> DataFrame:

@@ -59,6 +59,8 @@ QUALITY: dict[str, Job] = {
 REFERENTIAL: dict[str, Job] = {
     "withdrawn_listing_purge": referential.withdrawn_listing_purge,
     "renter_customer_purge": referential.renter_customer_purge,
+    "withdrawn_listing_purge_survivors": referential.withdrawn_listing_purge_survivors,
+    "renter_customer_purge_survivors": referential.renter_customer_purge_survivors,
     "agent_renumbering": referential.agent_renumbering,
 }
 
