@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.operators.lookup import flag_members
 from estatelens.schemas import LOAD_ORDER, TABLES, children_of
 
 Tables = Mapping[str, DataFrame]
@@ -77,16 +78,14 @@ def delete_cascade(t: Tables, table: str, keys: DataFrame, materialize: bool = T
             df = df.join(res.deleted[tb.name], tb.primary_key, "left_anti")
         for fk in tb.foreign_keys:
             if fk.on_delete == "set_null" and fk.parent in res.deleted:
-                hit = res.deleted[fk.parent].select(
-                    F.col(fk.parent_column).alias("__k"), F.lit(True).alias("__hit")
-                )
-                df = df.join(hit, F.col(fk.column) == F.col("__k"), "left")
+                gone = res.deleted[fk.parent].select(fk.parent_column)
+                df = flag_members(df, [fk.column], gone, "__hit", tb.primary_key)
                 res.nulled.setdefault(tb.name, []).append(
                     (fk.column, df.where(F.col("__hit")).select(tb.primary_key))
                 )
                 df = df.withColumn(
                     fk.column, F.when(F.col("__hit"), F.lit(None)).otherwise(F.col(fk.column))
-                ).drop("__k", "__hit")
+                ).drop("__hit")
         out[tb.name] = df.select(*tb.column_names)
     return res
 

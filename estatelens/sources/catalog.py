@@ -16,7 +16,6 @@ at the parent's files, not at the parent's whole computation.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
+from estatelens.operators.lookup import flag_members
 from estatelens.operators.quality import apply_defaults, key_rules, split
 from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
@@ -113,38 +113,36 @@ def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
     Row rules first (defaults applied), then foreign keys against the stored
     parents, then PRIMARY KEY / UNIQUE duplicates among the rows that pass
     both (and, for appends, against ``parents[table]`` - the rows already
-    stored), so an orphan rejects no other row.  Every check is a column
-    expression, an aggregation or a left join to a de-duplicated key set, so
-    the batch is tagged in one pipeline and no join can multiply rows."""
+    stored), so an orphan rejects no other row.  Each key rule is judged on
+    its key columns of those rows, whatever the other key rules say, so the
+    joins grow with the number of rules; of the stored keys only those of
+    the batch are kept before anything is shuffled.  No join can multiply
+    rows."""
     tagged, _ = split(apply_defaults(df, table), table, keep_tagged=True)
     rules = F.col("failed_rules")
 
-    def flag(cond, rule_id: str):
-        return F.when(cond, F.array_append(rules, F.lit(rule_id))).otherwise(rules)
+    def flag(rows: DataFrame, cond, rule_id: str) -> DataFrame:
+        return rows.withColumn("failed_rules", F.when(cond, F.array_append(rules, F.lit(rule_id))).otherwise(rules))
 
     for fk in table.foreign_keys:
         parent = parents.get(fk.parent)
         if parent is None:
             continue
         # stored parents passed their key check: unique keys, no fan-out
-        keys = parent.select(F.col(fk.parent_column).alias("__pk"), F.lit(True).alias("__hit"))
-        col = F.col(fk.column)
-        tagged = (tagged.join(keys, col == F.col("__pk"), "left")
-                  .withColumn("failed_rules", flag(col.isNotNull() & F.col("__hit").isNull(),
-                                                   f"foreign_key:{fk.column}->{fk.parent}"))
-                  .drop("__pk", "__hit"))
+        looked = flag_members(tagged, [fk.column], parent.select(fk.parent_column), "__hit", table.primary_key)
+        tagged = flag(looked, F.col(fk.column).isNotNull() & F.col("__hit").isNull(),
+                      f"foreign_key:{fk.column}->{fk.parent}").drop("__hit")
     existing = parents.get(table.name)
+    clean = tagged.where(F.size(rules) == 0)
+    tagged = tagged.withColumn("__clean", F.size(rules) == 0)
     for rule_id, cols in key_rules(table):
-        cols = list(cols)
-        clean = tagged.where(F.size(rules) == 0)
-        nonnull = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        dup = clean.where(nonnull).groupBy(*cols).count().where(F.col("count") > 1).select(*cols)
+        keys = clean.select(*cols).dropna().groupBy(*cols).count()
+        taken = keys.where(F.col("count") > 1).select(*cols)
         if existing is not None:
-            dup = dup.unionByName(existing.select(*cols))
-        dup = dup.distinct().withColumn("__dup", F.lit(True))
-        tagged = (tagged.join(dup, cols, "left")
-                  .withColumn("failed_rules", flag(F.col("__dup") & (F.size(rules) == 0), rule_id))
-                  .drop("__dup"))
+            stored = existing.select(*cols).join(keys.select(*cols), list(cols), "left_semi")
+            taken = taken.unionByName(stored).distinct()
+        looked = flag_members(tagged, cols, taken, "__dup", table.primary_key)
+        tagged = flag(looked, F.col("__dup") & F.col("__clean"), rule_id).drop("__dup")
     return tagged.select(*table.column_names, "failed_rules")
 
 

@@ -134,3 +134,24 @@ def test_run_end_to_end_builds_every_mart(spark, tmp_path):
     for name in ("walkability_split", "listing_stage_conversion", "agent_commissions"):
         got = spark.read.parquet(out["marts"][name])
         assert got.exceptAll(ANALYTICS[name](stored, "2024-02-01")).count() == 0
+
+
+def test_checked_rows_join_once_for_each_rule(spark):
+    """Three key rules and two references of agents: the joins grow with
+    the rules, and NULL references are spread by a second join key."""
+    from estatelens.schemas import TABLES
+
+    # rows as literals, so that only the check's own joins are counted
+    gen = generate(spark, scale=1.0, seed=3)
+    t = {n: spark.createDataFrame(gen[n].collect(), gen[n].schema) for n in ("offices", "teams", "agents")}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tagged = catalog.check_rows(t["agents"], TABLES["agents"], {"offices": t["offices"], "teams": t["teams"]})
+        plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # two reference joins on the way to each of the three key frames and the rows, and one for each key
+    assert plan.count("Join LeftOuter") == 2 * 4 + 3
+    assert "__spread" in plan and "__at" in plan
+    assert tagged.where("size(failed_rules) > 0").count() == 0
