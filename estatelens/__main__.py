@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--tables", required=True)
         sp.add_argument("--as-of", default=None)
         sp.add_argument("--out", default=None)
+        sp.add_argument("--largest-shuffle-gb", type=float, default=None,
+                        help="size of the largest shuffle expected; sets the number of shuffle partitions")
     q.add_argument("--show", type=int, default=20)
     load = sub.choices["load"]
     load.add_argument("--scale", type=float, default=1.0)
@@ -50,7 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     from estatelens.session import get_spark
     from estatelens.sources import catalog
 
-    spark = get_spark()
+    gb = args.largest_shuffle_gb
+    spark = get_spark(largest_shuffle_bytes=None if gb is None else gb * 1e9)
     if args.cmd == "load":
         from estatelens.sources.generator import generate
 

@@ -28,7 +28,8 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "estatelens", extra: dict | None = None,
-              checkpoint_dir: str | None = None) -> SparkSession:
+              checkpoint_dir: str | None = None,
+              largest_shuffle_bytes: float | None = None) -> SparkSession:
     """Build (or reuse) a session with :data:`DEFAULT_CONF`.
 
     Settings given at submit time win: the defaults only fill keys the
@@ -37,7 +38,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     ``local[$BENCH_CPUS or 8]`` only when no launcher decides it (tests,
     bench, plain ``python``); under ``spark-submit`` the submitted master is
     kept.  ``checkpoint_dir`` is used only when the session names no
-    ``spark.checkpoint.dir`` (local runs and tests).
+    ``spark.checkpoint.dir`` (local runs and tests).  With
+    ``largest_shuffle_bytes`` the shuffles are sized by :func:`cluster_conf`
+    for the cores the session has; submitted and explicit settings still win.
     """
     launched = _master_configured()
     b = SparkSession.builder.appName(app_name)
@@ -54,7 +57,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     submitted = spark.sparkContext.getConf()
-    for k, v in DEFAULT_CONF.items():
+    defaults = dict(DEFAULT_CONF)
+    if largest_shuffle_bytes is not None:
+        defaults |= cluster_conf(largest_shuffle_bytes, spark.sparkContext.defaultParallelism)
+    for k, v in defaults.items():
         if k in explicit or submitted.contains(k) or not spark.conf.isModifiable(k):
             continue
         spark.conf.set(k, v)
