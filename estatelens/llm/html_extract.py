@@ -1,30 +1,39 @@
 """Main-text extraction by wrapper induction.
 
-A page is a tree of block elements; siblings with the same label are one
-node of its shape.  The most frequent shape of a host is its reference, and
-every other shape of the host is aligned with it by simple tree matching.
-Aligned nodes that carry the same text on nearly all different pages of the
-host are template, the other text is in varying slots and is content.  Of
-the content, what stands in an article is the main text, but for elements
+A page is a tree of block elements, labelled by tag; a node's id is the way
+to it, by tag and number among its siblings of that tag.  Of the pages with
+a host's most frequent set of nested tags the largest is the host's
+reference, and every page is aligned with it by simple tree matching, which
+gives its nodes the ids of the reference's.  Nodes that carry the same text
+on nearly all different pages that have the node are template, the other
+text is in varying slots and is content.  Of the content, what stands in an article is the main text, but for elements
 that say by tag, role, class or id that they are something else.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.shared import UPPER, columns_of, cut, small_or_shuffled
 
-#: A text is template if it stands at one node on this share of a host's
-#: different pages, of which there must be so many.
+#: A text is template if it stands at one node on this share of the host's
+#: different pages that have the node, and on so many.
 SHARE = 0.9
-MIN_PAGES = 20
+MIN_PAGES = 2
+#: Elements nested deeper belong to their ancestor of this depth.
+DEPTH = 100
+#: Larger tables of a tree matching are split in half.
+CELLS = 1 << 22
+#: Nodes whose alignment a task remembers.
+KNOWN = 200_000
 
 # Names of HTML; fixed values.
 BLOCKS = frozenset(
@@ -57,9 +66,10 @@ def _words(name: str) -> set[str]:
 
 
 def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """The shape of a page, as its distinct node paths in page order, and its
-    blocks (node path, text) of the main part."""
-    shape: dict[str, None] = {}
+    """The shape of a page, as its node ids in page order, and its blocks
+    (node id, text) of the main part."""
+    shape: list[str] = []
+    numbers: dict[str, int] = {}
     found: list[tuple[str, str, int]] = []
     # open elements: tag, path, excluded, place (2 in an article, 1 in main)
     stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
@@ -134,87 +144,205 @@ def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
         elif tag == "main" or role == "main":
             place = max(place, 1)
         if tag in BLOCKS:
-            label = tag + "".join("." + c for c in sorted(given.get("class", "").split()))
-            path = f"{path}/{label.replace('/', '')}"
-            shape.setdefault(path)
+            if path.count("/") < DEPTH:
+                path = f"{path}/{tag}"
+                numbers[path] = k = numbers.get(path, 0) + 1
+                path = f"{path}[{k}]"
+                shape.append(path)
         if not m.group(3).rstrip().endswith("/") or tag in BLOCKS:
             stack.append((tag, path, excluded, place))
     flush()
     best = max((p for *_, p in found), default=0)
-    return list(shape), [(path, line) for path, line, p in found if p == best]
+    return shape, [(path, line) for path, line, p in found if p == best]
 
 
 class Node:
     def __init__(self, label: str, path: str):
         self.label, self.path, self.children = label, path, []
+        self.size, self.like = 1, b""
 
 
 def tree(shape: list[str]) -> Node:
-    """The tree of a page's node paths."""
+    """The tree of a page's node ids.  ``size`` counts the nodes of a
+    subtree, ``like`` is the same for subtrees of the same form."""
     root = Node("", "")
     nodes = {"": root}
     for path in shape:
-        up, _, label = path.rpartition("/")
-        nodes[path] = node = Node(label, path)
+        up, _, name = path.rpartition("/")
+        nodes[path] = node = Node(name.partition("[")[0], path)
         nodes[up].children.append(node)
+    for node in reversed(nodes.values()):  # a node comes after its parent
+        node.size += sum(x.size for x in node.children)
+        node.like = hashlib.blake2b(node.label.encode() + b"\0" + b"".join(x.like for x in node.children), digest_size=16).digest()
     return root
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[str, str]]]:
-    """Simple tree matching: the largest order-preserving match of two trees
-    whose roots have the same label, and the pairs of paths in it."""
-    if a.label != b.label:
-        return 0, []
-    below = [[match(x, y) for y in b.children] for x in a.children]
-    n, m = len(a.children), len(b.children)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + below[i - 1][j - 1][0])
-    pairs = [(a.path, b.path)]
-    i, j = n, m
+def _ends(a: Node, b: Node) -> tuple[int, int]:
+    """How many children at the start and at the end are of the same form.
+    Some largest match has these in pairs."""
+    x, y = a.children, b.children
+    n = min(len(x), len(y))
+    lo = next((i for i in range(n) if x[i].like != y[i].like), n)
+    hi = next((i for i in range(n - lo) if x[-1 - i].like != y[-1 - i].like), n - lo)
+    return lo, hi
+
+
+def _weights(x: list[Node], y: list[Node], known: dict) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """The sizes of the largest matches of the forms in ``x`` with those in
+    ``y``, and the numbers of the forms of each."""
+    kinds_x, kinds_y = {n.like: n for n in x}, {n.like: n for n in y}
+    at_x, at_y = {k: i for i, k in enumerate(kinds_x)}, {k: i for i, k in enumerate(kinds_y)}
+    w = np.array([[_largest(p, q, known) for q in kinds_y.values()] for p in kinds_x.values()], np.int64)
+    return w, [at_x[n.like] for n in x], np.array([at_y[n.like] for n in y], np.int64)
+
+
+def _rows(weights: np.ndarray, x: list[int], y: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows of the table of largest order-preserving matches."""
+    row = np.zeros(len(y) + 1, np.int64)
+    yield row
+    for i in x:
+        row = np.maximum.accumulate(np.concatenate([row[:1], np.maximum(row[1:], row[:-1] + weights[i][y])]))
+        yield row
+
+
+def _last(rows: Iterator[np.ndarray]) -> np.ndarray:
+    for row in rows:
+        pass
+    return row
+
+
+def _paired(weights: np.ndarray, x: list[int], y: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs of a largest order-preserving match."""
+    if not x or not len(y):
+        return []
+    if len(x) > 1 and len(x) * len(y) > CELLS:
+        half = len(x) // 2
+        k = int(np.argmax(_last(_rows(weights, x[:half], y)) + _last(_rows(weights, x[:half - 1:-1], y[::-1]))[::-1]))
+        return _paired(weights, x[:half], y[:k]) + [(i + half, j + k) for i, j in _paired(weights, x[half:], y[k:])]
+    best = list(_rows(weights, x, y))
+    pairs = []
+    i, j = len(x), len(y)
     while i and j:
         if best[i][j] == best[i - 1][j]:
             i -= 1
         elif best[i][j] == best[i][j - 1]:
             j -= 1
         else:
-            pairs += below[i - 1][j - 1][1]
             i, j = i - 1, j - 1
-    return best[n][m] + 1, pairs
+            pairs.append((i, j))
+    return pairs[::-1]
+
+
+def _largest(a: Node, b: Node, known: dict) -> int:
+    if a.label != b.label:
+        return 0
+    if a.like == b.like:
+        return a.size
+    if (a.like, b.like) not in known:
+        lo, hi = _ends(a, b)
+        x, y = a.children[lo:len(a.children) - hi], b.children[lo:len(b.children) - hi]
+        ends = sum(n.size for n in a.children) - sum(n.size for n in x)
+        known[a.like, b.like] = 1 + ends + (int(_last(_rows(*_weights(x, y, known)))[-1]) if x and y else 0)
+    return known[a.like, b.like]
+
+
+def match(a: Node, b: Node, known: dict | None = None) -> tuple[int, list[tuple[str, str]]]:
+    """Simple tree matching: the largest order-preserving match of two trees
+    whose roots have the same label, and the pairs of node ids in it."""
+    if a.label != b.label:
+        return 0, []
+    known = {} if known is None else known
+    lo, hi = _ends(a, b)
+    n, m = len(a.children), len(b.children)
+    x, y = a.children[lo:n - hi], b.children[lo:m - hi]
+    below = [(i, i) for i in range(lo)] + [(n - i, m - i) for i in range(hi, 0, -1)]
+    if x and y:
+        below += [(i + lo, j + lo) for i, j in _paired(*_weights(x, y, known))]
+    pairs = [(a.path, b.path)]
+    for i, j in sorted(below):
+        pairs += match(a.children[i], b.children[j], known)[1]
+    return len(pairs), pairs
+
+
+def aligned(shape: list[str], reference: Node, there: set[str]) -> dict[str, tuple[str, str]]:
+    """For each node of a page: its id in the reference, whose ids are
+    ``there``, and the id that says which pages have the node.
+
+    That is its own if the reference has no sibling of the same tag.  Of
+    several, as the paragraphs of an article, a page may have fewer, so there
+    it is the parent's, as it is of a node without a partner, which is named
+    by its parent's id and its tag."""
+    pairs = dict(match(tree(shape), reference)[1])
+    out = {"": ("", "")}
+    for path in shape:
+        up, _, name = path.rpartition("/")
+        own = pairs.get(path)
+        if own is None:
+            out[path] = (f"{out[up][0]}/+{name.partition('[')[0]}", out[up][0])
+        else:
+            single = own.endswith("[1]") and own[:-3] + "[2]" not in there
+            out[path] = (own, own if single else own.rpartition("/")[0])
+    return out
+
+
+def _form(shape: list[str]) -> int:
+    """A number for the set of nested tags of a page."""
+    text = "\n".join(sorted({re.sub(r"\[[0-9]+\]", "", x) for x in shape}))
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
+        text = pa.list_(pa.string())
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 got = [parse(x or "") for x in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(["\n".join(s) for s, _ in got], pa.string()),
-                     pa.array([[{"path": p, "text": t} for p, t in b] for _, b in got], kind)], names=["page_id", "url", "shape", "blocks"])
+                     pa.array([_form(s) for s, _ in got], pa.int64()), pa.array([len(s) for s, _ in got], pa.int64()),
+                     pa.array([[p for p, _ in b] for _, b in got], text), pa.array([[t for _, t in b] for _, b in got], text)],
+                    names=["page_id", "url", "shape", "form", "size", "paths", "texts"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.mapInArrow(task, f"page_id {kind}, url string, shape string, blocks array<struct<path:string,text:string>>")
+    return pages.mapInArrow(task, f"page_id {kind}, url string, shape string, form long, size long, paths array<string>, texts array<string>")
 
 
-def _aligned(shapes: DataFrame) -> DataFrame:
-    """(host, shape, nodes): for each shape of a host, the node of the
-    reference shape that each path is matched with."""
+def _aligned(parsed: DataFrame) -> DataFrame:
+    """(page_id, url, host, page, texts, nodes, owners): for each text of a
+    page its node's two ids of :func:`aligned`."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = pa.list_(pa.string())
+        trees: dict[str, tuple[Node, set[str]]] = {}
+        known: dict[tuple[str, str], dict[str, tuple[str, str]]] = {}
+        n_known = 0
         for batch in batches:
-            pairs = [match(tree(r.split("\n") if r else []), tree(s.split("\n") if s else []))[1]
-                     for r, s in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[(s, r) for r, s in p] for p in pairs], pa.map_(pa.string(), pa.string()))],
-                names=["host", "shape", "nodes"])
-
-    counted = cut(shapes.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
-    reference = counted.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"))
-    both = counted.join(reference, "host").select("host", "shape", "reference").repartition(F.col("host"), F.col("shape"))
-    return both.mapInArrow(task, "host string, shape string, nodes map<string,string>")
+            nodes, owners = [], []
+            for shape, reference, paths in zip(*(batch.column(i).to_pylist() for i in (5, 6, 7))):
+                if (shape, reference) not in known:
+                    if n_known > KNOWN:
+                        trees, known, n_known = {}, {}, 0
+                    if reference not in trees:
+                        ids_there = reference.split("\n") if reference else []
+                        trees[reference] = tree(ids_there), set(ids_there)
+                        n_known += len(ids_there)
+                    ids_here = shape.split("\n") if shape else []
+                    known[shape, reference] = aligned(ids_here, *trees[reference])
+                    n_known += len(ids_here)
+                to = known[shape, reference]
+                nodes.append([to[p][0] for p in paths])
+                owners.append([to[p][1] for p in paths])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(nodes, ids), pa.array(owners, ids)],
+                                             names=["page_id", "url", "host", "page", "texts", "nodes", "owners"])
+
+    forms = parsed.groupBy("host", "form").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "shape")).alias("largest"))
+    reference = cut(forms.groupBy(F.col("host").alias("h")).agg(F.max(F.struct("n", "largest")).alias("most"))
+                    .select("h", F.col("most.largest.shape").alias("reference")))
+    both = parsed.join(small_or_shuffled(reference, 4000), F.col("host") == F.col("h")).select(
+        "page_id", "url", "host", "page", "texts", "shape", "reference", "paths")
+    kind = parsed.schema["page_id"].dataType.simpleString()
+    return both.mapInArrow(task, f"page_id {kind}, url string, host string, page long, texts array<string>, nodes array<string>, owners array<string>")
 
 
 def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -231,18 +359,20 @@ def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES)
     """
     host = F.translate(F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit("")), UPPER, UPPER.lower())
     parsed = cut(_parsed(columns_of(pages, "page_id", "url", "html"))
-                 .withColumns({"host": host, "page": F.xxhash64("blocks.text")}))
-    nodes = cut(_aligned(parsed.select("host", "shape")))
-    n_pages = cut(parsed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages))
-    to = nodes.select(F.col("host").alias("h"), F.col("shape").alias("s"), "nodes")
-    slots = (parsed.join(small_or_shuffled(to, 4000), (F.col("host") == F.col("h")) & (F.col("shape") == F.col("s")), "left")
-             .select("host", "page", "nodes", F.explode("blocks").alias("b"))
-             .select("host", F.coalesce(F.col("nodes")[F.col("b.path")], F.col("b.path")).alias("node"), F.xxhash64("b.text").alias("said"), "page"))
-    spread = slots.distinct().groupBy("host", "node", "said").agg(F.count(F.lit(1)).alias("n"))
-    constant = cut(spread.join(n_pages, "host").where(F.col("n") >= share * F.col("pages")).groupBy("host")
-                   .agg(F.collect_set(F.concat_ws(" ", F.col("said").cast("string"), "node")).alias("template")))
-    blocks = parsed.join(small_or_shuffled(to, 4000), (F.col("host") == F.col("h")) & (F.col("shape") == F.col("s")), "left").join(
-        small_or_shuffled(constant.select(F.col("host").alias("t"), "template"), 4000), F.col("host") == F.col("t"), "left")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains("template", F.concat_ws(
-        " ", F.xxhash64(b["text"]).cast("string"), F.coalesce(F.col("nodes")[b["path"]], b["path"]))), F.lit(False)))
-    return blocks.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
+                 .withColumns({"host": host, "page": F.xxhash64("texts")}))
+    found = _aligned(parsed)
+    blocks = F.zip_with("nodes", "owners", lambda n, o: F.struct(F.xxhash64(n).alias("node"), F.xxhash64(o).alias("owner")))
+    slots = cut(found.select("host", "page", F.explode(F.array_distinct(F.zip_with(blocks, "texts", lambda b, t: F.struct(
+        b["node"].alias("node"), b["owner"].alias("owner"), F.xxhash64(t).alias("said"))))).alias("b"))
+        .select("host", "page", "b.*").distinct())
+    # a page has the nodes of its texts and those that own them
+    has = slots.select("host", "page", F.explode(F.array_distinct(F.array("node", "owner"))).alias("owner"))
+    pages_of = has.distinct().groupBy("host", "owner").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    spread = slots.groupBy("host", "node", "owner", "said").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    constant = cut(spread.join(pages_of, ["host", "owner"]).where(F.col("n") >= share * F.col("pages")).groupBy("host")
+                   .agg(F.collect_set(F.xxhash64("said", "node")).alias("template")))
+    judged = found.join(small_or_shuffled(constant.select(F.col("host").alias("t"), "template"), 4000), F.col("host") == F.col("t"), "left")
+    kept = F.filter(F.zip_with("nodes", "texts", lambda n, t: F.struct(
+        t.alias("text"), F.xxhash64(F.xxhash64(t), F.xxhash64(n)).alias("slot"))),
+        lambda b: ~F.coalesce(F.array_contains("template", b["slot"]), F.lit(False)))
+    return judged.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))

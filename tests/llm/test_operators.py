@@ -325,3 +325,54 @@ def test_pipeline(spark, tmp_path):
         assert left.select("doc_id").exceptAll(before.select("doc_id")).count() == 0
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {p["doc_id"] for p in pieces} == {r["doc_id"] for r in left.collect()}
+
+
+def test_html_aligned_nodes(spark):
+    """The notice is the second div of some pages and the first of others,
+    under a class of its own, on a host of three pages and one of five."""
+    def page(i, ads):
+        return (f"<body>{''.join(f'<div>ad {i} {k}</div>' for k in range(ads))}<div class=p{i}><ul><li>Notice</ul></div>"
+                f"<section>{''.join(f'<p>Text {i} {k}</p>' for k in range(1 + i))}</section></body>")
+
+    rows = [(100 * n + i, f"http://h{n}/{i}", page(i, i % 2)) for n in (3, 5) for i in range(n)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = lambda: {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    want = {100 * n + i: "\n".join([f"ad {i} {k}" for k in range(i % 2)] + [f"Text {i} {k}" for k in range(1 + i)])
+            for n in (3, 5) for i in range(n)}
+    assert texts() == want
+    a, b = html_extract.parse(page(0, 0))[0], html_extract.parse(page(1, 1))[0]
+    pairs = dict(html_extract.match(html_extract.tree(a), html_extract.tree(b))[1])
+    assert pairs["/body[1]/div[1]/ul[1]/li[1]"] == "/body[1]/div[2]/ul[1]/li[1]"
+
+
+def brute_match(a, b):
+    if a.label != b.label:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_match(x, y))
+    return best[-1][-1] + 1
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 22])
+def test_match_is_largest(monkeypatch, cells):
+    monkeypatch.setattr(html_extract, "CELLS", cells)
+    r = random.Random(cells)
+
+    def shape(path="", depth=0):
+        out, seen = [], Counter()
+        for _ in range(r.randrange(max(1, 6 - depth))):
+            t = r.choice("ab")
+            seen[t] += 1
+            out += [f"{path}/{t}[{seen[t]}]", *shape(f"{path}/{t}[{seen[t]}]", depth + 2)]
+        return out
+
+    differ = 0
+    for _ in range(100):
+        x, y = shape(), shape()
+        n, pairs = html_extract.match(html_extract.tree(x), html_extract.tree(y))
+        assert n == len(pairs) == len(dict(pairs)) == len({q for _, q in pairs}) == brute_match(html_extract.tree(x), html_extract.tree(y))
+        assert all(re.sub(r"\[.*?\]", "", p) == re.sub(r"\[.*?\]", "", q) for p, q in pairs)
+        differ += sum(p != q for p, q in pairs)
+    assert differ
