@@ -30,7 +30,8 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url: given rules, then rules mined from labels."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    rules = url_filter.mine(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    shown = pages.select(url_filter.document_id(F.col("url")).alias("page_id"), "url")
+    rules = url_filter.mine(shown, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return url_filter.url_filter(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 

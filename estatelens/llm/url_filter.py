@@ -2,7 +2,7 @@
 
 Pages with a label become baskets: the tokens of the URL and, if the page is
 bad, a marker.  Spark's FP-growth finds the frequent baskets; rules that end
-in the marker are kept by confidence and support, and a rule that a shorter
+in the marker are kept by confidence, lift and support, and a rule that a shorter
 kept rule implies is dropped.  Rules are matched by an inverted index: each
 is posted under its rarest token, met by the pages that have the token, and
 verified in full.  A list of given rules goes before the mined ones.
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.shared import UPPER, cut, replace_columns, small_or_shuffled
 
-MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.6
-#: Pages a rule must have been seen on, whatever the share.
+#: A rule's confidence must be above this many times the share of bad pages.
+MIN_LIFT = 1.0
+#: Bad pages a rule must have been seen on, whatever the number of pages.
 MIN_PAGES = 20
 BAD = "label=bad"
 #: (host, path, verdict) of the given list.
@@ -65,24 +66,41 @@ def tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.concat(F.lit("host:"), host)), labels, parts, F.array(depth)))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+def document_id(url: Column) -> Column:
+    """The id of the document that a page shows: the number that is the last
+    part of its path, an ending apart; null if there is none."""
+    return F.regexp_extract(host_and_path(url)[1], r"/([0-9]+)(?:\.[A-Za-z]+)?/?$", 1).try_cast("long")
+
+
+def mine(pages: DataFrame, labels: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT,
          min_pages: int = MIN_PAGES) -> DataFrame:
     """(tokens, confidence, support) of rules "these tokens: bad".
 
     ``labels`` has doc_id, quality and toxic; a page is bad if a label of
-    its page_id says quality 0 or toxic 1.  Pages without a label teach
-    nothing.  Without labelled pages there are no rules."""
+    its page_id, which is the id that labels go by, says quality 0 or toxic
+    1.  Pages without a label teach nothing.  Without labelled pages there
+    are no rules.
+
+    A rule needs ``min_pages`` bad pages at every size of the table.  Each
+    of its tokens is then on as many bad pages, so tokens on fewer are left
+    out of the baskets before they are mined."""
     host, path = host_and_path(F.col("`url`"))
     marked = labels.groupBy(F.col("`doc_id`").alias("__id")).agg(
         F.max(F.coalesce((F.col("`quality`") == 0) | (F.col("`toxic`") == 1), F.lit(False))).alias("bad"))
     known = pages.select(F.col("`page_id`").alias("__page"), tokens(host, path).alias("t")).join(marked, F.col("__page") == F.col("__id"))
-    baskets = cut(known.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items"), "bad"))
+    baskets = cut(known.select(F.monotonically_increasing_id().alias("row"),
+                               F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items"), "bad"))
     n = baskets.count()
     if not n:
         return pages.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    least = max(min_support, min(1.0, min_pages / n))
-    sets = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets.select("items"))
-    rules = cut(sets.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
+    often = cut(baskets.where("bad").select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") >= min_pages).select("item"))
+    left = (baskets.select("row", F.explode("items").alias("item")).join(small_or_shuffled(often, 64), "item")
+            .groupBy("row").agg(F.collect_set("item").alias("items")))
+    mined = cut(baskets.select("row").join(left, "row", "left").select(F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+    least = min(1.0, (min_pages - 0.5) / n)  # the half keeps rounding from asking for a page more
+    sets = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(mined)
+    rules = cut(sets.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") > min_lift))
                 .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
     shorter = rules.select(F.explode("tokens").alias("first"), F.col("tokens").alias("part"), F.col("confidence").alias("c"))
     implied = (rules.select("tokens", "confidence", F.explode("tokens").alias("first")).join(shorter, "first")

@@ -376,3 +376,28 @@ def test_match_is_largest(monkeypatch, cells):
         assert all(re.sub(r"\[.*?\]", "", p) == re.sub(r"\[.*?\]", "", q) for p, q in pairs)
         differ += sum(p != q for p, q in pairs)
     assert differ
+
+
+def test_url_filter_joins_labels_by_document(spark, tmp_path):
+    from estatelens.llm import queries
+
+    ids = [f"https://spam.net/en/{7000 + i}{e}" for i in range(30) for e in ("", "/", ".html?ref=1")]
+    got = spark.createDataFrame([(u,) for u in [*ids, "https://h/en", None, "https://h/99999999999999999999"]], "url string").select(
+        url_filter.document_id(F.col("url")).alias("d")).collect()
+    assert [x["d"] for x in got] == [7000 + i for i in range(30) for _ in range(3)] + [None] * 3
+    pages = [(i, f"https://spam.net/en/{7000 + i}") for i in range(30)] + [(100 + i, f"https://fine.net/en/{i}") for i in range(60)]
+    labels = [(7000 + i, 0, 0) for i in range(30)] + [(i, 1, 0) for i in range(60)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = {r["page_id"]: r["verdict"] for r in queries.op3_url_filter(spark, str(tmp_path)).collect()}
+    assert all(v == ("block" if i < 100 else "allow") for i, v in out.items())
+
+
+def test_url_filter_floor_and_lift(spark):
+    """25 bad pages make a rule among 40,000; a share of bad pages as in the
+    whole table makes none."""
+    pages = spark.range(40000).selectExpr("id AS page_id", "concat('http://', if(id < 25, 'spam', 'fine'), '.net/x/', id) AS url")
+    rules = url_filter.mine(pages, pages.selectExpr("page_id AS doc_id", "if(page_id < 25, 0, 1) AS quality", "0 AS toxic")).collect()
+    assert {t for r in rules for t in r["tokens"]} == {"host:spam.net", "label:spam"}
+    even = pages.limit(1000).selectExpr("page_id AS doc_id", "if(page_id % 10 < 7, 0, 1) AS quality", "0 AS toxic")
+    assert all(r["confidence"] > 0.7 for r in url_filter.mine(pages.where("page_id >= 25"), even).collect())
