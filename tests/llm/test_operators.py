@@ -401,3 +401,18 @@ def test_url_filter_floor_and_lift(spark):
     assert {t for r in rules for t in r["tokens"]} == {"host:spam.net", "label:spam"}
     even = pages.limit(1000).selectExpr("page_id AS doc_id", "if(page_id % 10 < 7, 0, 1) AS quality", "0 AS toxic")
     assert all(r["confidence"] > 0.7 for r in url_filter.mine(pages.where("page_id >= 25"), even).collect())
+
+
+def test_chat_lanes_are_consecutive(spark):
+    rows = [(c, t, r, f"{t}.{k}") for c in (None, 1) for t in (None, 0, 1) for r in ("ann", "bob") for k in range(40)]
+    rows += [(None, None, "ann", "same")] * 70
+    random.Random(1).shuffle(rows)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    whole = {(r["conv_id"], r["speaker"], r["part"]): r["text"] for r in chat.rotate(turns).collect()}
+    lanes = chat.rotate(turns, part_rows=32).collect()
+    assert max(r["n_turns"] for r in lanes) == 32 and len(lanes) > 20
+    joined = {}
+    for r in sorted(lanes, key=lambda r: r["lane"]):
+        key = r["conv_id"], r["speaker"], r["part"]
+        joined[key] = joined.get(key, "") + r["text"]
+    assert joined == whole
