@@ -18,12 +18,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
-    return exact_dedup.exact_dedup(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    """Of equal texts one row with the largest doc_id."""
+    return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicate documents the one with the smallest doc_id."""
+    """Of near-duplicate documents one with the smallest doc_id."""
     return simhash.near_dedup(docs)
 
 

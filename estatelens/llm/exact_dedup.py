@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.shared import cut, lower_ascii, replace_columns, small_or_shuffled
+from estatelens.llm.shared import cut, lower_ascii, one_of_each, replace_columns, small_or_shuffled
 
 #: Filter bits per row, and the largest filter: 2**29 bits are 64 MB.  Past
 #: 2**25 rows the filter gets denser: more unique rows shuffle, the result
@@ -85,3 +85,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = [*[F.col(f"`{c}`") for c in docs.columns], F.col("keep_id"), F.col("group_size"), F.col("kept"), F.col("text_sha256")]
     single = alone.withColumns({"keep_id": ident, "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     return single.select(*order).unionByName(grouped.select(*order))
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """One row of each group of equal texts, of the rows that
+    :func:`exact_dedup` keeps, with the columns of ``docs``."""
+    kept = exact_dedup(docs).where("kept")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    again = cut(kept.where("group_size > 1").groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                .select(F.col("text_sha256").alias("__sha")))
+    if not again.count():
+        return kept.select(*names)
+    repeated, same = small_or_shuffled(again, 200), F.col("text_sha256") == F.col("__sha")
+    one = one_of_each(kept.join(repeated, same, "left_semi"), F.col("text_sha256"))
+    return kept.join(repeated, same, "left_anti").unionByName(one).select(*names)

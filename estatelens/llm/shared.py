@@ -61,3 +61,10 @@ def replace_columns(df: DataFrame, *names: str) -> DataFrame:
 def columns_of(docs: DataFrame, *needed: str) -> DataFrame:
     """The named columns under their exact names, whatever else there is."""
     return docs.select(*[F.col(f"`{c}`").alias(c) for c in needed])
+
+
+def one_of_each(rows: DataFrame, *keys: Column) -> DataFrame:
+    """Of the rows equal in ``keys`` that with the smallest hash of all columns."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    first = rows.groupBy(*[k.alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__row"))
+    return first.select(*[F.col("__row").getField(c).alias(c) for c in rows.columns])

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.bytesops import LOWER, SPACE, chunks, spans
 from estatelens.llm.components import components
-from estatelens.llm.shared import columns_of, cut, small_or_shuffled
+from estatelens.llm.shared import cut, one_of_each, small_or_shuffled
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -182,6 +182,16 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, longest: int = LIST) ->
         postings = cut(_refine(postings.join(long_keys.select("mask", "key"), ["mask", "key"]), finer))
 
 
+def _named(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """(__fp, least): for each of ``nodes`` (fp, least; fp distinct) the
+    smallest ``least`` of its component."""
+    found = components(near_links(nodes.select("fp"), max_bits).distinct())
+    roots = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = roots.groupBy("root").agg(F.min("least").alias("least"))
+    return cut(roots.select("fp", "root").repartition(nodes.sparkSession.sparkContext.defaultParallelism)
+               .join(cut(named), "root").select(F.col("fp").alias("__fp"), "least"))
+
+
 def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row: ``component_id`` is the
@@ -194,14 +204,8 @@ def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: in
     gives an empty result.
     """
     fps = cut(fingerprints(docs, words, id_col, text_col))
-    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    found = components(near_links(nodes.select("fp"), max_bits).distinct())
-    roots = nodes.join(found, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    named = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    member = cut(roots.select("fp", "root").repartition(docs.sparkSession.sparkContext.defaultParallelism)
-                 .join(cut(named), "root").select(F.col("fp").alias("__fp"), "component_id"))
-    return fps.join(member, F.col("fp") == F.col("__fp")).select("doc_id", "fp", "component_id")
+    member = _named(cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least"))), max_bits)
+    return fps.join(member, F.col("fp") == F.col("__fp")).select("doc_id", "fp", F.col("least").alias("component_id"))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -210,10 +214,24 @@ def hex_digits(fp: Column) -> Column:
 
 
 def near_dedup(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component: one document
-    of each group of near-duplicates, all columns kept."""
-    found = simhash_components(columns_of(docs, "doc_id", "text"), words, max_bits)
-    gone = cut(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(small_or_shuffled(gone, 64), docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
-
+    """One row of ``docs`` of each group of near-duplicates, all columns kept.
 
+    It is a row with the smallest doc_id of the group, a null being larger
+    than any id; of several with that id, one by hash of the text, and of
+    rows equal in id and text one by hash of the row.  Rows are dropped by
+    id and text, so an id on rows of different groups is judged in each.
+    """
+    ident, key = F.col("`doc_id`"), F.xxhash64(F.col("`text`"))
+    rows = docs.select(F.struct(ident.alias("id"), key.alias("key")).alias("doc_id"), F.col("`text`").alias("text"))
+    fps = cut(fingerprints(rows, words).select(F.struct(F.col("doc_id.id").isNull().alias("none"), "doc_id.*").alias("row"), "fp"))
+    member = _named(cut(fps.groupBy("fp").agg(F.min("row").alias("least"))), max_bits)
+    judged = cut(fps.join(member, F.col("fp") == F.col("__fp")).select(
+        F.col("row.id").alias("__id"), F.col("row.key").alias("__key"), F.col("row").eqNullSafe(F.col("least")).alias("kept")))
+    gone = cut(judged.where("not kept").select("__id", "__key").distinct())
+    again = cut(judged.where("kept").groupBy("__id", "__key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__id", "__key"))
+    same = ident.eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    left = docs.join(small_or_shuffled(gone, 64), same, "left_anti")
+    if not again.count():
+        return left
+    repeated = small_or_shuffled(again, 64)
+    return left.join(repeated, same, "left_anti").unionByName(one_of_each(left.join(repeated, same, "left_semi"), ident, key))

@@ -416,3 +416,20 @@ def test_chat_lanes_are_consecutive(spark):
         key = r["conv_id"], r["speaker"], r["part"]
         joined[key] = joined.get(key, "") + r["text"]
     assert joined == whole
+
+
+def test_near_dedup_repeated_ids(spark):
+    r = random.Random(9)
+    say = lambda: [r.choice("abcdefgh") + str(r.randrange(500)) for _ in range(400)]
+    a, b, c, d = say(), say(), say(), say()
+    near = lambda w: " ".join([*w[:200], "zz", *w[200:]])
+    rows = [(7, " ".join(a)), (9, near(a)), (7, " ".join(b)), (3, near(b)), (None, " ".join(c)), (5, near(c)), (None, " ".join(d)),
+            (11, "x"), (11, "x"), (11, "X"), (None, "y"), (None, "y")]
+    docs = spark.createDataFrame([(*x, i) for i, x in enumerate(rows)], "doc_id long, text string, row int")
+    assert all((brute_simhash(x) ^ brute_simhash(y)).bit_count() <= 3 for x, y in ((rows[0][1], rows[1][1]), (rows[2][1], rows[3][1]), (rows[4][1], rows[5][1])))
+    out = simhash.near_dedup(docs)
+    assert out.columns == docs.columns
+    assert Counter((x["doc_id"], (x["text"] or "").lower()) for x in out.collect()) == Counter(
+        [(7, " ".join(a)), (3, near(b)), (5, near(c)), (None, " ".join(d)), (11, "x"), (None, "y")])
+    assert Counter((x["doc_id"], x["text"].lower()) for x in exact_dedup.drop_copies(docs).collect()) == Counter(
+        [*rows[:7], (11, "x"), (None, "y")])
