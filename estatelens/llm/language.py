@@ -27,8 +27,11 @@ ROUNDS = 12
 #: Document frequencies come from every training text.
 SAMPLE = 1000
 SAMPLE_ALL = 8000
+#: A cluster with fewer texts is given up, its texts go to the others.
+MIN_MEMBERS = 20
 #: A text is rejected if its cosine is under this share of the lowest
-#: thousandth of its centroid's own training texts.
+#: thousandth of its centroid's own training texts, or of those of all its
+#: language's if that is less.
 REJECT = 0.5
 UNKNOWN = "und"
 OUT = ("lang_pred", "score", "rejected")
@@ -98,16 +101,29 @@ def _document_frequencies(train: DataFrame) -> np.ndarray:
 
 
 def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from farthest-first starts: centroids, members."""
-    start = [int(np.argmax(x @ x.mean(axis=0)))]
+    """Spherical k-means from k-means++ starts: centroids, members.
+
+    While a cluster has fewer than ``MIN_MEMBERS`` texts, the smallest is
+    given up and the others are moved again."""
+    draw = np.random.default_rng(0)
+    start = [int(draw.integers(len(x)))]
+    far = np.full(len(x), np.inf)
     while len(start) < min(k, len(x)):
-        start.append(int(np.argmin((x @ x[start].T).max(axis=1))))
+        far = np.minimum(far, np.maximum(1 - (x @ x[start[-1]]).astype(np.float64), 0))
+        if far.sum() < 1e-3:
+            break  # nothing but copies is left
+        start.append(int(draw.choice(len(x), p=far / far.sum())))
     c = x[start]
-    for _ in range(ROUNDS):
+    while True:
+        for _ in range(ROUNDS):
+            near = np.argmax(x @ c.T, axis=1)
+            c = np.stack([x[near == i].mean(axis=0) if (near == i).any() else c[i] for i in range(len(c))])
+            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         near = np.argmax(x @ c.T, axis=1)
-        c = np.stack([x[near == i].mean(axis=0) if (near == i).any() else c[i] for i in range(len(c))])
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c, np.argmax(x @ c.T, axis=1)
+        size = np.bincount(near, minlength=len(c))
+        if len(c) == 1 or size.min() >= MIN_MEMBERS:
+            return c, near
+        c = np.delete(c, int(np.argmin(size)), axis=0)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -139,11 +155,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         x = np.stack([np.frombuffer(v, np.float16) for v in sorted(by_lang[k])]).astype(np.float32)
         c, member = _cluster(x, CENTROIDS)
         near = np.einsum("ij,ij->i", x, c[member])
+        lowest = np.quantile(near, 0.001)
         for i in range(len(c)):
             own = near[member == i]
             centroids.append(c[i])
             langs.append(k)
-            least.append(REJECT * float(np.quantile(own if len(own) else near, 0.001)))
+            least.append(REJECT * float(min(lowest, np.quantile(own, 0.001)) if len(own) else lowest))
     stacked = np.stack(centroids) if centroids else np.zeros((0, FEATURES), np.float32)
     return Model(idf, stacked.astype(np.float32), langs, np.array(least))
 

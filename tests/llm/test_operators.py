@@ -433,3 +433,13 @@ def test_near_dedup_repeated_ids(spark):
         [(7, " ".join(a)), (3, near(b)), (5, near(c)), (None, " ".join(d)), (11, "x"), (None, "y")])
     assert Counter((x["doc_id"], x["text"].lower()) for x in exact_dedup.drop_copies(docs).collect()) == Counter(
         [*rows[:7], (11, "x"), (None, "y")])
+
+
+def test_language_keeps_outliers():
+    """A few odd texts neither make clusters nor thresholds of their own."""
+    r = np.random.default_rng(4)
+    x = np.abs(r.normal(size=(400, 64))).astype(np.float32) * (1 + 4 * (np.arange(64) < 8))
+    x[:6] = np.eye(64, dtype=np.float32)[20:26]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c, member = language._cluster(x, 4)
+    assert np.bincount(member, minlength=len(c)).min() >= language.MIN_MEMBERS
