@@ -33,8 +33,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two length."""
-    return packing.pack(docs, with_ids=False)
+    """Pieces of power-of-two length, with their token ids."""
+    return packing.pack(docs)
 
 
 STAGES = [

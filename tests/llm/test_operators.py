@@ -443,3 +443,10 @@ def test_language_keeps_outliers():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     c, member = language._cluster(x, 4)
     assert np.bincount(member, minlength=len(c)).min() >= language.MIN_MEMBERS
+
+
+def test_pipeline_rows_hold_token_ids(spark, docs):
+    import corpus_pipeline
+
+    pieces = corpus_pipeline.pack_documents(spark, docs.select("doc_id", "text"), "").collect()
+    assert pieces and all(len(p["input_ids"]) == p["length"] and zlib.crc32(np.array(p["input_ids"], "<u4").tobytes()) == p["ids_crc32"] for p in pieces)
