@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import chat, decontaminate, exact_dedup, html_extract, language, packing, simhash, substring_dedup, suffix_dedup, url_filter
+from estatelens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, language, packing, simhash, substring_dedup, suffix_dedup, url_filter
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -77,8 +77,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "speaker", "part", "lane", "n_turns", "text", mask.alias("mask"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    found = bpe.encode(_documents(spark, sf_dir, "doc_id", "text"), decoded_col="decoded")
+    ids = F.array_join(F.col("input_ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("input_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_language, op3_url_filter, op4_simhash, op5_packing, op6_substring_dedup, op7_suffix_dedup,
-        op8_html_extract, op9_exact_dedup, op10_chat_format)
+        op8_html_extract, op9_exact_dedup, op10_chat_format, op13_bpe)
 }
