@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, language, packing, prefix_trie, simhash, substring_dedup, suffix_dedup, url_filter
+from estatelens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, language, packing, prefix_trie, simhash, substring_dedup, suffix_dedup, url_filter, whitening
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "speaker", "part", "lane", "n_turns", "text", mask.alias("mask"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whitened on up to 16 components."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all rebuilt conversations."""
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -93,5 +98,5 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_language, op3_url_filter, op4_simhash, op5_packing, op6_substring_dedup, op7_suffix_dedup,
-        op8_html_extract, op9_exact_dedup, op10_chat_format, op12_prefix_trie, op13_bpe)
+        op8_html_extract, op9_exact_dedup, op10_chat_format, op11_whitening, op12_prefix_trie, op13_bpe)
 }
