@@ -35,19 +35,21 @@ def _to_geo(per_property: DataFrame, props: DataFrame, nbhds: DataFrame) -> Data
     return per_property.join(props, "property_id").join(nbhds, "neighborhood_id")
 
 
-def ny_ppsf_by_property_type(t: Tables, as_of=None) -> DataFrame:
+def ny_ppsf_state(t: Tables) -> DataFrame:
+    """What :func:`ny_ppsf_by_property_type` needs of the listings: their
+    number per property and price, so distinct properties stay countable."""
+    return t["listings"].where(F.col("listing_status").isin("Sold", "Rented")).groupBy("property_id", "listing_price").agg(
+        F.count(F.lit(1)).cast("decimal(10,0)").alias("n"))
+
+
+def ny_ppsf_by_property_type(t: Tables, as_of=None, state: DataFrame | None = None) -> DataFrame:
     """NY Sold/Rented listings of three property types: distinct properties
     and mean price per sqft per (type, neighborhood name, listing price).
 
     The listing price is a grouping key that is not output, so one
     (type, neighborhood) pair can appear on several rows.
     """
-    per_property = (
-        t["listings"]
-        .where(F.col("listing_status").isin("Sold", "Rented"))
-        .groupBy("property_id", "listing_price")
-        .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("n"))
-    )
+    per_property = ny_ppsf_state(t) if state is None else state
     props = t["properties"].where(
         F.col("property_type").isin("Single-family", "Condo", "Townhouse") & (F.col("sqft") > 0)
     ).select("property_id", "neighborhood_id", "property_type", "sqft")
@@ -268,23 +270,28 @@ def listing_stage_conversion(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def time_on_market(t: Tables, as_of=None) -> DataFrame:
-    """Closed listings of the last 12 months per (listing type, city): count
-    and mean / min / max AGE day component from listing to close."""
+def time_on_market_state(t: Tables, *more: str) -> DataFrame:
+    """What :func:`time_on_market` needs of the listings, per property, type
+    and the columns ``more``."""
     d = age_day_part("close_date", "listing_date")
-    per_property = (
-        t["listings"]
-        .where((F.col("listing_date") >= months_before(as_of, 12)) & F.col("close_date").isNotNull())
-        .withColumn("d", d)
-        .groupBy("property_id", "listing_type")
-        .agg(
-            F.count("listing_id").alias("n"),
-            F.sum(F.col("d").cast("decimal(20,0)")).alias("d_sum"),
-            F.count("d").alias("d_n"),
-            F.min("d").alias("d_min"),
-            F.max("d").alias("d_max"),
-        )
+    return t["listings"].where(F.col("close_date").isNotNull()).withColumn("d", d).groupBy("property_id", "listing_type", *more).agg(
+        F.count("listing_id").alias("n"),
+        F.sum(F.col("d").cast("decimal(20,0)")).alias("d_sum"),
+        F.count("d").alias("d_n"),
+        F.min("d").alias("d_min"),
+        F.max("d").alias("d_max"),
     )
+
+
+def time_on_market(t: Tables, as_of=None, state: DataFrame | None = None) -> DataFrame:
+    """Closed listings of the last 12 months per (listing type, city): count
+    and mean / min / max AGE day component from listing to close.  A
+    ``state`` kept per listing date serves every ``as_of``."""
+    recent = F.col("listing_date") >= months_before(as_of, 12)
+    if state is None:
+        per_property = time_on_market_state({"listings": t["listings"].where(recent)})
+    else:
+        per_property = state.where(recent)
     props = t["properties"].select("property_id", "neighborhood_id")
     nb = t["neighborhoods"].select("neighborhood_id", "city")
     return (

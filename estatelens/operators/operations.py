@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from estatelens.functions import (
     age_day_part,
     asc,
-    dec_mean,
     desc,
     mean_of_parts,
     months_before,
     pg_round,
 )
+from estatelens.operators.heavy import split_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,16 +30,16 @@ def _paid(t: Tables) -> DataFrame:
     return t["commissions"].where(F.col("status") == "paid")
 
 
-def agent_commissions(t: Tables, as_of=None) -> DataFrame:
-    """Paid commissions per agent and commission type: count and total."""
-    per_agent = (
-        _paid(t)
-        .groupBy("agent_id", "commission_type")
-        .agg(
-            F.count("commission_id").alias("commission_count"),
-            F.sum("commission_amount").alias("total"),
-        )
-    )
+def agent_commission_state(t: Tables) -> DataFrame:
+    """What :func:`agent_commissions` needs of the commissions in ``t``."""
+    return _paid(t).groupBy("agent_id", "commission_type").agg(
+        F.count("commission_id").alias("commission_count"), F.sum("commission_amount").alias("total"))
+
+
+def agent_commissions(t: Tables, as_of=None, state: DataFrame | None = None) -> DataFrame:
+    """Paid commissions per agent and commission type: count and total.
+    ``state`` stands for the commissions where they were summed up before."""
+    per_agent = agent_commission_state(t) if state is None else state
     agents = t["agents"].select("agent_id", "first_name", "last_name", "email")
     return (
         per_agent.join(agents, "agent_id")
@@ -78,22 +78,42 @@ def office_revenue_past_quarter(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def commission_split_by_type(t: Tables, as_of=None) -> DataFrame:
+_SPLIT_MEANS = ("commission_amount", "commission_rate", "split_percentage")
+
+
+def commission_split_state(t: Tables) -> DataFrame:
+    """What :func:`commission_split_by_type` needs of the commissions."""
+    return _paid(t).groupBy("commission_type").agg(
+        F.count("commission_id").alias("commission_count"),
+        *[x for c in _SPLIT_MEANS for x in (F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n"))])
+
+
+def commission_split_by_type(t: Tables, as_of=None, state: DataFrame | None = None) -> DataFrame:
     """Paid commissions per type: count and mean amount, rate and split, and
     the implied company share 100 - mean split."""
-    mean = dec_mean
-    return (
-        _paid(t)
-        .groupBy("commission_type")
-        .agg(
-            F.count("commission_id").alias("commission_count"),
-            pg_round(mean("commission_amount"), 2).alias("avg_commission_amount"),
-            pg_round(mean("commission_rate"), 2).alias("avg_commission_rate_pct"),
-            pg_round(mean("split_percentage"), 2).alias("avg_agent_split_pct"),
-            pg_round(F.lit(100) - mean("split_percentage"), 2).alias("avg_company_split_pct"),
-        )
-        .orderBy(asc("commission_type"))
-    )
+    per_type = commission_split_state(t) if state is None else state
+    amount, rate, split = (mean_of_parts(f"{c}_sum", f"{c}_n") for c in _SPLIT_MEANS)
+    return per_type.select(
+        "commission_type",
+        "commission_count",
+        pg_round(amount, 2).alias("avg_commission_amount"),
+        pg_round(rate, 2).alias("avg_commission_rate_pct"),
+        pg_round(split, 2).alias("avg_agent_split_pct"),
+        pg_round(F.lit(100) - split, 2).alias("avg_company_split_pct"),
+    ).orderBy(asc("commission_type"))
+
+
+def commission_lines(t: Tables, as_of=None) -> DataFrame:
+    """Every commission with its agent's name, team and office.
+
+    An agent with many commissions is split off before the join
+    (:func:`estatelens.operators.heavy.split_join`), so the join does not
+    rely on adaptive execution."""
+    agents = t["agents"].select(F.col("agent_id"), "last_name", F.col("team_id").alias("agent_team"))
+    lines = split_join(t["commissions"].select("commission_id", "agent_id", "office_id", "commission_amount"), agents, ["agent_id"])
+    lines = lines.join(t["teams"].select(F.col("team_id").alias("agent_team"), "team_name"), "agent_team", "left")
+    return lines.join(t["offices"].select("office_id", "office_name"), "office_id", "left").select(
+        "commission_id", "last_name", "team_name", "office_name", "commission_amount")
 
 
 def team_sales_performance(t: Tables, as_of=None) -> DataFrame:

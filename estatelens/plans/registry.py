@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,17 @@ from pyspark.sql import types as T
 from estatelens.operators import (
     building_blocks,
     customer,
+    distinct_sets,
+    history,
     inventory,
     market,
     operations,
     quality,
+    ranked,
     referential,
+    sampling,
 )
+from estatelens.plans import incremental
 
 Job = Callable[..., DataFrame]
 
@@ -71,6 +77,32 @@ BUILDING_BLOCKS: dict[str, Job] = {
     "interaction_days_to_close": building_blocks.interaction_days_to_close,
     "bedroom_rounding_counts": building_blocks.bedroom_rounding_counts,
     "sold_listing_reductions": building_blocks.sold_listing_reductions,
+    "customer_contacts": building_blocks.customer_contacts,
+    "agent_licenses": building_blocks.agent_licenses,
+    "filled_defaults": building_blocks.filled_defaults,
+    "listing_date_windows": building_blocks.listing_date_windows,
+    "commission_roundings": building_blocks.commission_roundings,
+}
+
+# Jobs whose rows depend on the order, or on all rows of a key, without a
+# task for the whole order or key.
+ROW_ORDER: dict[str, Job] = {
+    "price_change_context": history.price_change_context,
+    "sold_listing_cuts": history.sold_listing_cuts,
+    "commission_lines": operations.commission_lines,
+    "listed_properties": distinct_sets.listed_properties,
+    "offer_sample": sampling.offer_sample,
+    "interaction_sold_listing": sampling.interaction_sold_listing,
+    "ranked_leads": ranked.ranked_leads,
+    "ranked_paid_commissions": ranked.ranked_paid_commissions,
+    "ranked_open_leads": ranked.ranked_open_leads,
+    "ranked_properties_by_city": ranked.ranked_properties_by_city,
+    "ranked_price_changes": ranked.ranked_price_changes,
+}
+
+# Marts finished from the merged states of three loads.
+INCREMENTAL: dict[str, Job] = {
+    f"incremental_{name}": partial(incremental.from_batches, name) for name in incremental.MARTS
 }
 
 # Results that are not rounded by the query itself; compared at 6 dp.
