@@ -6,6 +6,8 @@ hashed by prefix sums, so nothing is done per word in Python.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from functools import cache
 
@@ -52,6 +54,16 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             at = to
 
 
+def give_back() -> None:
+    """Free memory goes back to the machine when a task ends, because the
+    Python worker lives on and waits beside the next stages' memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes with ``inside`` that stay in one document:
     starts, ends, and the index of each document's first run (with a last

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.llm.bytesops import LOWER, chunks
+from estatelens.llm.bytesops import LOWER, chunks, give_back
 from estatelens.llm.shared import replace_columns
 
 FEATURES = 4096
@@ -39,7 +39,7 @@ OUT = ("lang_pred", "score", "rejected")
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
 _FOLD = np.where(_LETTER[LOWER], LOWER, 0x20).astype(np.uint32)
-_ROWS = 512
+_ROWS = 128
 
 
 def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -47,7 +47,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     b = _FOLD[data]
     doc = np.repeat(np.arange(n), np.diff(offsets))
-    out = np.zeros(n * FEATURES, np.int64)
+    out = np.zeros(n * FEATURES, np.int32)
     for size in (2, 3):
         if len(b) < size:
             continue
@@ -56,7 +56,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             code = code << np.uint32(8) | b[k:len(b) - size + 1 + k]
         inside = doc[:len(code)] == doc[size - 1:]
         slot = (code * np.uint32(2654435761) + np.uint32(size * 97)) >> np.uint32(32 - 12)
-        out += np.bincount((doc[:len(code)] * FEATURES + slot)[inside], minlength=n * FEATURES)
+        out += np.bincount((doc[:len(code)] * FEATURES + slot)[inside], minlength=n * FEATURES).astype(np.int32)
     return out.reshape(n, FEATURES)
 
 
@@ -198,6 +198,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns[:-1], pa.array(lang, pa.string()), pa.array(np.where(lettered, score, 0.0)), pa.array(far | ~lettered)],
                     names=out.fieldNames())
+        give_back()
 
     out = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                         T.StructField("rejected", T.BooleanType())])

@@ -12,7 +12,6 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.bytesops import CHUNK, SPACE, chunks
+from estatelens.llm.bytesops import CHUNK, SPACE, chunks, give_back
 
 SEQUENCE = 1024
 END_ID = 0
-#: Units whose ids a worker remembers: the first it meets, which are mostly
-#: the frequent ones.  Others are encoded each time.
-MEMORY = 500_000
+#: Bytes of units and ids that a task remembers: the first it meets, which
+#: are mostly the frequent ones.  Others are encoded each time.
+MEMORY = 16 << 20
+#: What two bytes objects and their place in a dict take besides.
+_ENTRY = 180
 
 # White space beyond ASCII, and control characters that some libraries call
 # white space: a text that holds one is tokenised as a whole.
@@ -63,6 +64,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[bytes, bytes] = {}
+        self._held = 0
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,8 +93,9 @@ class Encoder:
         encoded = self._tokenizer.encode_batch_fast([words[i].decode() for i in missing], add_special_tokens=False)
         for i, e in zip(missing, encoded):
             pieces[i] = array("I", e.ids).tobytes()
-        if len(self._known) < MEMORY:
+        if self._held < MEMORY:
             self._known.update((words[i], pieces[i]) for i in missing)
+            self._held += sum(len(words[i]) + len(pieces[i]) + _ENTRY for i in missing)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
         flat = np.frombuffer(b"".join(pieces), np.uint32)
         which = units.indices.to_numpy()
@@ -102,13 +105,6 @@ class Encoder:
         return ids, np.diff(upto[np.searchsorted(begin, offsets)])
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker: tasks that follow each other in a
-    worker share what it remembers."""
-    return Encoder(path)
-
-
 def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
     """n as full pieces and the powers of two of the rest, largest first."""
     rest = n % longest
@@ -133,12 +129,12 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, longest: int = SEQU
     path = tokenizer_path
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path or public_tokenizer_path()).chunk
+        encoder = Encoder(path or public_tokenizer_path())
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
         for rows, data, offsets in chunks(batches, limit=2 * CHUNK):
             texts = pc.fill_null(rows.column(1).cast(pa.large_string()), "")
-            ids, n_ids = encode(texts, data, offsets)
+            ids, n_ids = encoder.chunk(texts, data, offsets)
             first = np.cumsum(n_ids) - n_ids
             doc, start, length, crc, total, out = [], [], [], [], [], []
             for d, (a, n) in enumerate(zip(first.tolist(), n_ids.tolist())):
@@ -162,6 +158,9 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, longest: int = SEQU
                     cols.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length[s])]).astype(np.int32), flat))
                 number += m
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        # workers outlive the stage: neither tokenizer nor what it met stays
+        del encoder
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["input_ids"] * with_ids
