@@ -5,8 +5,11 @@ window.  A window holds at least one whole reference block of its own
 document, and if the window repeats, that block also occurs at the other
 place, there at any offset.  So: index the reference blocks, probe them with
 every rolling window of block length, keep the blocks that occur twice, and
-extend them to the windows around them.  Windows that are equal in all their
-words merge into maximal exact repeats.
+extend them by the words on both sides: to every window around them.  Such
+windows are compared by their words: within a chunk word by word, a run of
+windows being extended by its next word, between chunks by a 128-bit BLAKE2
+digest of the words.  Equal ones merge into maximal exact repeats.  Rolling
+hashes only preselect.
 
 The index reaches the probing tasks as a Bloom filter of bounded size; what
 passes is grouped exactly.  A denser filter lets more rows shuffle and
@@ -18,6 +21,8 @@ shuffle as one row a chunk.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -97,18 +102,54 @@ class Words:
         self.starts, self.ends, self.first = spans(data, offsets, ~SPACE)
         h = word_hashes(data, self.starts, self.ends)
         self.n = np.diff(self.first)
-        self.roll, self.roll2 = Rolling(h, 1), Rolling(h, 2)
+        self.roll = Rolling(h, 1)
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
         self.left = np.repeat(self.first[1:], self.n) - np.arange(len(h))  # words from here to the document's end
         self.place = np.arange(len(h)) - np.repeat(self.first[:-1], self.n)
+        self._data = data
+
+    @cached_property
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with one space after each, and where each begins."""
+        size = self.ends - self.starts + 1
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = np.append(self._data, np.uint8(0x20))[np.minimum(
+            np.repeat(self.starts - upto[:-1], size) + np.arange(int(upto[-1])), len(self._data))]
+        flat[upto[1:] - 1] = 0x20
+        return flat, upto
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """A number for each word, equal for equal words of the chunk only."""
+        flat, upto = self.joined
+        words = pa.Array.from_buffers(pa.binary(), len(upto) - 1, [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(flat)])
+        return words.dictionary_encode().indices.to_numpy()
+
+    def same(self, at: np.ndarray, other: np.ndarray, window: int) -> bool:
+        """Whether the windows at ``at`` (ascending) and ``other`` have the
+        same words.  Where both go on from the window before, only the word
+        that is new is compared."""
+        on = np.zeros(len(at), bool)
+        on[1:] = (np.diff(at) == 1) & (np.diff(other) == 1)
+        size = np.where(on, 1, window)
+        back = np.where(on, window - 1, 0)
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(back, size)
+        return bool((self.codes[np.repeat(at, size) + within] == self.codes[np.repeat(other, size) + within]).all())
+
+    def digests(self, at: np.ndarray, window: int) -> np.ndarray:
+        """128 bits of BLAKE2 of each window's words: two numbers a row."""
+        flat, upto = self.joined
+        raw = flat.tobytes()
+        made = b"".join([blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(upto[at].tolist(), upto[at + window].tolist())])
+        return np.frombuffer(made, np.uint64).reshape(-1, 2)
 
     def starts_of(self, window: int, at_least: int) -> np.ndarray:
         """Starts of ``window`` words in documents of ``at_least`` words."""
         long_enough = np.repeat(self.n >= at_least, self.n)
         return np.flatnonzero((self.left >= window) & long_enough)
 
-    def hash(self, at: np.ndarray, window: int, second: bool = False) -> np.ndarray:
-        return (self.roll2 if second else self.roll)(at, at + window)
+    def hash(self, at: np.ndarray, window: int) -> np.ndarray:
+        return self.roll(at, at + window)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -153,7 +194,7 @@ def _repeated_blocks(docs: DataFrame, index, window: int) -> DataFrame:
 def _candidates(docs: DataFrame, repeated, window: int) -> DataFrame:
     """Windows around repeated blocks.  Those equal to another of the same
     chunk are settled: rows (doc_id, key, first, last) without hash.  One
-    of each goes on, with its hashes, to be compared with other chunks."""
+    of each goes on, with its digest, to be compared with other chunks."""
     block = (window + 1) // 2
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +209,13 @@ def _candidates(docs: DataFrame, repeated, window: int) -> DataFrame:
             b = b[w.place[b] % block == 0]
             own[b] = f.has(w.hash(b, block))
             at = at[own[at + (-w.place[at]) % block]]  # the first reference block inside the window
-            h, g = w.hash(at, window), w.hash(at, window, True)
-            pair = h ^ (g >> np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            _, one, back, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+            if not len(at):
+                continue
+            _, one, back, n = np.unique(w.hash(at, window), return_index=True, return_inverse=True, return_counts=True)
+            many = np.flatnonzero(n[back] > 1)
+            if not w.same(at[many], at[one[back[many]]], window):  # a hash that two texts share
+                _, one, back, n = np.unique(w.digests(at, window), axis=0, return_index=True, return_inverse=True, return_counts=True)
+                back = back.ravel()
             settled = n[back] > 1
             s, e = runs(at[settled])
             witness = one[n > 1]
@@ -181,8 +226,9 @@ def _candidates(docs: DataFrame, repeated, window: int) -> DataFrame:
             last = np.concatenate([w.place[e], w.place[at[go]]])
             blank = np.concatenate([np.ones(len(s), bool), np.zeros(len(go), bool)])
             take = pa.array(docs_of)
-            hh = np.concatenate([np.zeros(len(s), np.uint64), h[go]]).view(np.int64)
-            gg = np.concatenate([np.zeros(len(s), np.uint64), g[go]]).view(np.int64)
+            digest = w.digests(at[go], window)
+            hh = np.concatenate([np.zeros(len(s), np.uint64), digest[:, 0]]).view(np.int64)
+            gg = np.concatenate([np.zeros(len(s), np.uint64), digest[:, 1]]).view(np.int64)
             twice = np.concatenate([np.zeros(len(s), np.int64), np.where(told, 2, 1)])
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(take), rows.column(1).take(take), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
