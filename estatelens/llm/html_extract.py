@@ -6,8 +6,11 @@ a host's most frequent set of nested tags the largest is the host's
 reference, and every page is aligned with it by simple tree matching, which
 gives its nodes the ids of the reference's.  Nodes that carry the same text
 on nearly all different pages that have the node are template, the other
-text is in varying slots and is content.  Of the content, what stands in an article is the main text, but for elements
-that say by tag, role, class or id that they are something else.
+text is in varying slots and is content.  Of the content, what stands in an
+article is the main text, but for elements that say by tag, role, class or id
+that they are something else.  Inside an article much more is asked of a
+template: ``ARTICLES`` pages that have no longest text in common, so that
+copies and near copies of an article never make its text a template.
 """
 
 from __future__ import annotations
@@ -28,8 +31,12 @@ from estatelens.llm.shared import UPPER, columns_of, cut, small_or_shuffled
 #: different pages that have the node, and on so many.
 SHARE = 0.9
 MIN_PAGES = 2
+#: Pages with different longest texts that a template inside articles needs.
+ARTICLES = 20
 #: Elements nested deeper belong to their ancestor of this depth.
-DEPTH = 100
+DEPTH = 40
+#: Open elements that an opening tag looks through for one that it closes.
+LOOK = 64
 #: Larger tables of a tree matching are split in half.
 CELLS = 1 << 22
 #: Nodes whose alignment a task remembers.
@@ -49,6 +56,15 @@ OTHER_WORDS = frozenset(
     "breadcrumb breadcrumbs header masthead footer sidebar aside widget cookie cookies consent gdpr notice notices alert popup modal "
     "overlay banner newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond social "
     "share sharing related recommended pagination pager toolbar search skip".split())
+#: Words that go with those above in a name, as in "ad-box"; a name with any
+#: other word, as "share-price", says nothing.
+NEUTRAL_WORDS = frozenset(
+    "area bar block bottom box btn button buttons container content group icon icons inner item items left link links list main module "
+    "outer page panel right row section site slot top unit wrap wrapper".split())
+#: Elements of running text, and articles: their names say nothing.
+TEXT_TAGS = frozenset("html body main article p h1 h2 h3 h4 h5 h6 li td th dt dd pre blockquote figcaption".split())
+#: Names of articles that are readers' comments, if the page has another one.
+COMMENT_WORDS = frozenset("comment comments reply replies".split())
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
 
@@ -61,32 +77,99 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(text)} if "=" in text else {}
 
 
-def _words(name: str) -> set[str]:
-    return set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+def _names(given: dict[str, str]) -> list[set[str]]:
+    """The words of each of an element's classes and of its id."""
+    names = (given.get("class", "") + " " + given.get("id", "")).split()
+    return [set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())) for n in names]
 
 
-def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """The shape of a page, as its node ids in page order, and its blocks
-    (node id, text) of the main part."""
+def _other(names: list[set[str]]) -> bool:
+    """Whether a name is made of words for other things than the text."""
+    return any(w & OTHER_WORDS and w <= OTHER_WORDS | NEUTRAL_WORDS for w in names)
+
+
+class _Open:
+    """The open elements of a page: (tag, path, excluded, place).
+
+    ``place`` is 3 in an article, 2 in one that is named a comment, 1 in
+    main.  ``inner`` counts the open inline tags since the last block, and
+    ``blocks`` says where in the stack blocks are, so an end tag that closes
+    nothing costs nothing."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
+        self.blocks = [0]
+        self.inner: list[dict[str, int]] = [{}]
+        self.named: dict[str, list[int]] = {}
+
+    def push(self, tag: str, path: str, excluded: bool, place: int) -> None:
+        if tag in BLOCKS:
+            self.named.setdefault(tag, []).append(len(self.stack))
+            self.blocks.append(len(self.stack))
+            self.inner.append({})
+        else:
+            self.inner[-1][tag] = self.inner[-1].get(tag, 0) + 1
+        self.stack.append((tag, path, excluded, place))
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag = self.stack.pop()[0]
+            if tag in BLOCKS:
+                self.named[tag].pop()
+                self.blocks.pop()
+                self.inner.pop()
+            else:
+                self.inner[-1][tag] -= 1
+
+    def closed_by_end(self, tag: str) -> int | None:
+        """Where the element that ``</tag>`` closes is; inline end tags do
+        not close blocks."""
+        if tag in BLOCKS:
+            at = self.named.get(tag)
+            return at[-1] if at else None
+        if not self.inner[-1].get(tag):
+            return None
+        return next(i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i][0] == tag)
+
+    def closed_by_start(self, tag: str) -> int | None:
+        """Where the element is whose end tag ``<tag>`` makes unnecessary,
+        looked for in the last ``LOOK`` blocks."""
+        if self.stack[self.blocks[-1]][0] == "p":
+            return self.blocks[-1]
+        if tag in _CLOSES:
+            same, until = _CLOSES[tag]
+            for i in self.blocks[:-LOOK - 1:-1]:
+                if self.stack[i][0] in same:
+                    return i
+                if self.stack[i][0] in until:
+                    return None
+        return None
+
+
+def parse(page: str) -> tuple[list[str], list[tuple[str, str]], int]:
+    """The shape of a page, as its node ids in page order; the blocks (node
+    id, text) of its main part; and the place these have.
+
+    One pass, in time proportional to the page."""
     shape: list[str] = []
     numbers: dict[str, int] = {}
     found: list[tuple[str, str, int]] = []
-    # open elements: tag, path, excluded, place (2 in an article, 1 in main)
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
+    opened = _Open()
     text: list[str] = []
 
     def flush() -> None:
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             text.clear()
-            _, path, excluded, place = stack[-1]
+            _, path, excluded, place = opened.stack[-1]
             if line and not excluded:
                 found.append((path, line, place))
 
-    def close(depth: int) -> None:
-        if any(t in BLOCKS for t, *_ in stack[depth:]):
-            flush()
-        del stack[depth:]
+    def close(depth: int | None) -> None:
+        if depth is not None:
+            if opened.blocks[-1] >= depth:
+                flush()
+            opened.cut(depth)
 
     at, n = 0, len(page)
     while at < n:
@@ -101,12 +184,7 @@ def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
         if not tag:
             continue
         if m.group(1):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if tag not in BLOCKS and stack[i][0] in BLOCKS:
-                    break  # an inline end tag does not close blocks
+            close(opened.closed_by_end(tag))
             continue
         if tag in RAW:
             end = re.compile("</" + re.escape(tag) + r"(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -116,31 +194,19 @@ def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
             text.append(" ")
             continue
         if tag in BLOCKS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
-            if tag in _CLOSES:
-                same, until = _CLOSES[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in same:
-                        close(i)
-                        break
-                    if stack[i][0] in until:
-                        break
+            close(opened.closed_by_start(tag))
             flush()
         if tag in VOID:
             continue
         given = _attributes(m.group(3))
-        _, path, excluded, place = stack[-1]
-        names = _words(given.get("class", "") + " " + given.get("id", ""))
+        _, path, excluded, place = opened.stack[-1]
+        names = _names(given) if given else []
         role = given.get("role", "").lower()
-        excluded = excluded or tag in OTHER_TAGS or role in OTHER_ROLES or (tag not in ("html", "body", "article", "main") and not names.isdisjoint(OTHER_WORDS)) \
-            or (tag == "article" and not names.isdisjoint({"comment", "comments", "reply", "ad", "ads", "advert", "promo", "related", "widget"}))
+        excluded = excluded or tag in OTHER_TAGS or role in OTHER_ROLES or (tag not in TEXT_TAGS and bool(names) and _other(names))
         if tag == "article":
-            place = 2
+            comment = any(w & COMMENT_WORDS for w in names)
+            excluded = excluded or (comment and place == 3)
+            place = max(place, 2 if comment else 3)
         elif tag == "main" or role == "main":
             place = max(place, 1)
         if tag in BLOCKS:
@@ -150,10 +216,10 @@ def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
                 path = f"{path}[{k}]"
                 shape.append(path)
         if not m.group(3).rstrip().endswith("/") or tag in BLOCKS:
-            stack.append((tag, path, excluded, place))
+            opened.push(tag, path, excluded, place)
     flush()
     best = max((p for *_, p in found), default=0)
-    return shape, [(path, line) for path, line, p in found if p == best]
+    return shape, [(path, line) for path, line, p in found if p == best], best
 
 
 class Node:
@@ -295,21 +361,22 @@ def _parsed(pages: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = pa.list_(pa.string())
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
                 got = [parse(x or "") for x in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(["\n".join(s) for s, _ in got], pa.string()),
-                     pa.array([_form(s) for s, _ in got], pa.int64()), pa.array([len(s) for s, _ in got], pa.int64()),
-                     pa.array([[p for p, _ in b] for _, b in got], text), pa.array([[t for _, t in b] for _, b in got], text)],
-                    names=["page_id", "url", "shape", "form", "size", "paths", "texts"])
+                    [part.column(0), part.column(1), pa.array(["\n".join(s) for s, _, _ in got], pa.string()),
+                     pa.array([_form(s) for s, _, _ in got], pa.int64()), pa.array([len(s) for s, _, _ in got], pa.int64()),
+                     pa.array([[p for p, _ in b] for _, b, _ in got], text), pa.array([[t for _, t in b] for _, b, _ in got], text),
+                     pa.array([place > 0 for *_, place in got], pa.bool_())],
+                    names=["page_id", "url", "shape", "form", "size", "paths", "texts", "inside"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.mapInArrow(task, f"page_id {kind}, url string, shape string, form long, size long, paths array<string>, texts array<string>")
+    return pages.mapInArrow(task, f"page_id {kind}, url string, shape string, form long, size long, paths array<string>, texts array<string>, inside boolean")
 
 
 def _aligned(parsed: DataFrame) -> DataFrame:
-    """(page_id, url, host, page, texts, nodes, owners): for each text of a
+    """(page_id, url, host, page, texts, inside, nodes, owners): for each text of a
     page its node's two ids of :func:`aligned`."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +386,7 @@ def _aligned(parsed: DataFrame) -> DataFrame:
         n_known = 0
         for batch in batches:
             nodes, owners = [], []
-            for shape, reference, paths in zip(*(batch.column(i).to_pylist() for i in (5, 6, 7))):
+            for shape, reference, paths in zip(*(batch.column(i).to_pylist() for i in (6, 7, 8))):
                 if (shape, reference) not in known:
                     if n_known > KNOWN:
                         trees, known, n_known = {}, {}, 0
@@ -333,19 +400,19 @@ def _aligned(parsed: DataFrame) -> DataFrame:
                 to = known[shape, reference]
                 nodes.append([to[p][0] for p in paths])
                 owners.append([to[p][1] for p in paths])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(nodes, ids), pa.array(owners, ids)],
-                                             names=["page_id", "url", "host", "page", "texts", "nodes", "owners"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(nodes, ids), pa.array(owners, ids)],
+                                             names=["page_id", "url", "host", "page", "texts", "inside", "nodes", "owners"])
 
     forms = parsed.groupBy("host", "form").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "shape")).alias("largest"))
     reference = cut(forms.groupBy(F.col("host").alias("h")).agg(F.max(F.struct("n", "largest")).alias("most"))
                     .select("h", F.col("most.largest.shape").alias("reference")))
     both = parsed.join(small_or_shuffled(reference, 4000), F.col("host") == F.col("h")).select(
-        "page_id", "url", "host", "page", "texts", "shape", "reference", "paths")
+        "page_id", "url", "host", "page", "texts", "inside", "shape", "reference", "paths")
     kind = parsed.schema["page_id"].dataType.simpleString()
-    return both.mapInArrow(task, f"page_id {kind}, url string, host string, page long, texts array<string>, nodes array<string>, owners array<string>")
+    return both.mapInArrow(task, f"page_id {kind}, url string, host string, page long, texts array<string>, inside boolean, nodes array<string>, owners array<string>")
 
 
-def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES, articles: int = ARTICLES) -> DataFrame:
     """Per row of ``pages``: page_id, url and text, the main text.
 
     Character references are decoded, white space inside a block becomes one
@@ -355,23 +422,28 @@ def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES)
     forms, scripts and styles are left out.  Null, empty and unparsable html
     give an empty text; repeated rows are repeated; a null url is a host of
     its own, which is empty.  Copies of a page count once when the template
-    of a host is found.  An empty table gives an empty result.
+    of a host is found, in articles and main elements also pages that share
+    their longest text.  Very long pages are parsed in time proportional to
+    their length; nothing is cut.  An empty table gives an empty result.
     """
     host = F.translate(F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit("")), UPPER, UPPER.lower())
+    longest = F.array_max(F.transform("texts", lambda t: F.struct(F.length(t).alias("n"), F.xxhash64(t).alias("h"))))["h"]
     parsed = cut(_parsed(columns_of(pages, "page_id", "url", "html"))
-                 .withColumns({"host": host, "page": F.xxhash64("texts")}))
+                 .withColumns({"host": host, "page": F.when(F.col("inside"), longest).otherwise(F.xxhash64("texts"))}))
     found = _aligned(parsed)
+    least = F.when(F.col("inside"), articles).otherwise(min_pages)
     blocks = F.zip_with("nodes", "owners", lambda n, o: F.struct(F.xxhash64(n).alias("node"), F.xxhash64(o).alias("owner")))
-    slots = cut(found.select("host", "page", F.explode(F.array_distinct(F.zip_with(blocks, "texts", lambda b, t: F.struct(
+    slots = cut(found.select("host", "inside", "page", F.explode(F.array_distinct(F.zip_with(blocks, "texts", lambda b, t: F.struct(
         b["node"].alias("node"), b["owner"].alias("owner"), F.xxhash64(t).alias("said"))))).alias("b"))
-        .select("host", "page", "b.*").distinct())
+        .select("host", "inside", "page", "b.*").distinct())
     # a page has the nodes of its texts and those that own them
-    has = slots.select("host", "page", F.explode(F.array_distinct(F.array("node", "owner"))).alias("owner"))
-    pages_of = has.distinct().groupBy("host", "owner").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
-    spread = slots.groupBy("host", "node", "owner", "said").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    constant = cut(spread.join(pages_of, ["host", "owner"]).where(F.col("n") >= share * F.col("pages")).groupBy("host")
+    has = slots.select("host", "inside", "page", F.explode(F.array_distinct(F.array("node", "owner"))).alias("owner"))
+    pages_of = has.distinct().groupBy("host", "inside", "owner").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least)
+    spread = slots.groupBy("host", "inside", "node", "owner", "said").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    constant = cut(spread.join(pages_of, ["host", "inside", "owner"]).where(F.col("n") >= share * F.col("pages")).groupBy("host", "inside")
                    .agg(F.collect_set(F.xxhash64("said", "node")).alias("template")))
-    judged = found.join(small_or_shuffled(constant.select(F.col("host").alias("t"), "template"), 4000), F.col("host") == F.col("t"), "left")
+    templates = small_or_shuffled(constant.select(F.col("host").alias("t"), F.col("inside").alias("__inside"), "template"), 4000)
+    judged = found.join(templates, (F.col("host") == F.col("t")) & (F.col("inside") == F.col("__inside")), "left")
     kept = F.filter(F.zip_with("nodes", "texts", lambda n, t: F.struct(
         t.alias("text"), F.xxhash64(F.xxhash64(t), F.xxhash64(n)).alias("slot"))),
         lambda b: ~F.coalesce(F.array_contains("template", b["slot"]), F.lit(False)))
