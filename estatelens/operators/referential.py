@@ -8,10 +8,9 @@ to the surviving rows of later tables.  Each level is an anti join (delete)
 or a left join against a de-duplicated key set (SET NULL) - never a join
 that can multiply rows.
 
-The doomed key set of every level is checkpointed to the shared
-``spark.checkpoint.dir`` when one is configured: later levels reuse it
-without recomputing the chain above, and a lost executor only recomputes
-from the last checkpoint.
+The doomed key set of every level that another one reads is written to the
+shared folder and read back: later levels reuse it without recomputing the
+chain above, and a lost executor only recomputes from the last one.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.operators.lineage import cut
 from estatelens.operators.lookup import flag_members
 from estatelens.schemas import LOAD_ORDER, TABLES, children_of
 
@@ -36,33 +36,17 @@ class DeleteResult:
     nulled: dict[str, list[tuple[str, DataFrame]]] = field(default_factory=dict)
 
 
-def _materialize(df: DataFrame, enabled: bool) -> DataFrame:
-    """Reliable checkpoint to the session's ``spark.checkpoint.dir``; with
-    no shared folder configured the lineage is kept (never a local one)."""
-    if not enabled:
-        return df
-    configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = df.sparkSession.sparkContext
-        if not sc.getCheckpointDir():
-            if not configured:
-                return df
-            sc.setCheckpointDir(configured)
-    except Exception:  # Spark Connect: the server's configuration decides
-        if not configured:
-            return df
-    return df.checkpoint(eager=True)
-
-
 def delete_cascade(t: Tables, table: str, keys: DataFrame, materialize: bool = True) -> DeleteResult:
     """Delete the rows of ``table`` whose primary key is in ``keys`` (a
-    one-column DataFrame) and apply every declared ON DELETE action."""
+    one-column DataFrame) and apply every declared ON DELETE action.  With
+    ``materialize`` false the key sets keep their lineage (small tables)."""
+    kept = cut if materialize else (lambda df: df)
     pk = TABLES[table].primary_key
     out = dict(t)
     res = DeleteResult(out)
     wanted = keys.select(F.col(keys.columns[0]).alias(pk))
     present = t[table].select(pk).join(wanted, pk, "left_semi").distinct()
-    res.deleted[table] = _materialize(present, materialize)
+    res.deleted[table] = kept(present)
     for tb in LOAD_ORDER:
         df = t[tb.name]
         sources = []
@@ -73,7 +57,7 @@ def delete_cascade(t: Tables, table: str, keys: DataFrame, materialize: bool = T
         if sources and tb.name != table:
             doomed = reduce(DataFrame.union, sources).distinct()
             # only a key set that later levels read is worth a lineage cut
-            res.deleted[tb.name] = _materialize(doomed, materialize and bool(children_of(tb.name)))
+            res.deleted[tb.name] = kept(doomed) if children_of(tb.name) else doomed
         if tb.name in res.deleted:
             df = df.join(res.deleted[tb.name], tb.primary_key, "left_anti")
         for fk in tb.foreign_keys:
@@ -142,10 +126,7 @@ def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
     A mapping that gives an old key two new ones, or a new key that another
     row of the table has or gets, is refused with ValueError."""
     pk = TABLES[table].primary_key
-    pairs = mapping.select("old_key", "new_key").distinct()
-    if pairs.groupBy("old_key").count().where("count > 1").take(1):
-        raise ValueError("mapping gives an old key more than one new key")
-    m = mapping.select(F.col("old_key").alias("__old"), F.col("new_key").alias("__new")).distinct()
+    m = cut(mapping.select(F.col("old_key").alias("__old"), F.col("new_key").alias("__new")).distinct())
 
     def remap(df: DataFrame, col: str, cols: list[str]) -> DataFrame:
         j = df.join(m, F.col(col) == F.col("__old"), "left")
@@ -153,7 +134,13 @@ def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
 
     out = dict(t)
     out[table] = remap(t[table], pk, TABLES[table].column_names)
-    if out[table].groupBy(pk).count().where("count > 1").take(1):
+    twice = F.when(F.count(F.lit(1)) > 1, 1).alias("twice")
+    olds, news = m.groupBy("__old").agg(twice), out[table].groupBy(pk).agg(twice)
+    bad = olds.select(F.col("twice").alias("old"), F.lit(None).cast("int").alias("new")).unionAll(
+        news.select(F.lit(None).cast("int"), "twice")).agg(F.max("old").alias("old"), F.max("new").alias("new")).first()
+    if bad["old"]:
+        raise ValueError("mapping gives an old key more than one new key")
+    if bad["new"]:
         raise ValueError(f"mapping makes {pk} ambiguous")
     for child, fk in children_of(table):
         out[child.name] = remap(out[child.name], fk.column, child.column_names)
@@ -198,13 +185,13 @@ def agent_renumbering(t: Tables, as_of=None) -> DataFrame:
     now referencing a renumbered agent, and the sum of the key column."""
     used = [("agents", "agent_id")] + [(c.name, fk.column) for c, fk in children_of("agents")]
     tops = reduce(DataFrame.unionByName, [t[name].agg(F.max(column).alias("top")) for name, column in used])
-    top = tops.agg(F.max("top")).first()[0] or 0
+    top = F.coalesce(tops.agg(F.max("top")).scalar(), F.lit(0))
     mapping = t["agents"].select(
-        F.col("agent_id").alias("old_key"), (F.lit(2 * top + 1) - F.col("agent_id")).alias("new_key"))
+        F.col("agent_id").alias("old_key"), (top * 2 + 1 - F.col("agent_id")).alias("new_key"))
     out = rekey(t, "agents", mapping)
     parts = []
     for name, column in used:
-        moved = F.col(column).between(top + 1, 2 * top)
+        moved = F.col(column).between(top + 1, top * 2)
         parts.append(out[name].agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
             F.count_if(moved).alias("renumbered_references"), F.sum(column).cast("bigint").alias("key_sum")))

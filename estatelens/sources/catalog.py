@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
+from estatelens.operators.lineage import cut, small_or_shuffled
 from estatelens.operators.lookup import flag_members
 from estatelens.operators.quality import apply_defaults, key_rules, split
 from estatelens.schemas import LOAD_ORDER, TABLES, Table
@@ -115,11 +116,20 @@ def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
     both (and, for appends, against ``parents[table]`` - the rows already
     stored), so an orphan rejects no other row.  Each key rule is judged on
     its key columns of those rows, whatever the other key rules say, so the
-    joins grow with the number of rules; of the stored keys only those of
-    the batch are kept before anything is shuffled.  No join can multiply
-    rows."""
+    joins grow with the number of rules.  No join can multiply rows.
+
+    An append costs its batch, not the stored tables: the batch's distinct
+    values are cut and, if they are small enough, broadcast to the scans of
+    the parents and of the stored keys, so only keys of the batch go on."""
     tagged, _ = split(apply_defaults(df, table), table, keep_tagged=True)
     rules = F.col("failed_rules")
+    existing = parents.get(table.name)
+
+    def of_batch(stored: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame:
+        """The rows of ``stored`` that are among the batch's distinct ones."""
+        if existing is not None:
+            batch = small_or_shuffled(cut(batch), 64 * len(columns))
+        return stored.join(batch, columns, "left_semi")
 
     def flag(rows: DataFrame, cond, rule_id: str) -> DataFrame:
         return rows.withColumn("failed_rules", F.when(cond, F.array_append(rules, F.lit(rule_id))).otherwise(rules))
@@ -129,17 +139,18 @@ def check_rows(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
         if parent is None:
             continue
         # stored parents passed their key check: unique keys, no fan-out
-        looked = flag_members(tagged, [fk.column], parent.select(fk.parent_column), "__hit", table.primary_key)
+        wanted = tagged.select(F.col(fk.column).alias(fk.parent_column)).dropna().distinct()
+        known = of_batch(parent.select(fk.parent_column), wanted, [fk.parent_column]) if existing is not None else parent.select(fk.parent_column)
+        looked = flag_members(tagged, [fk.column], known, "__hit", table.primary_key)
         tagged = flag(looked, F.col(fk.column).isNotNull() & F.col("__hit").isNull(),
                       f"foreign_key:{fk.column}->{fk.parent}").drop("__hit")
-    existing = parents.get(table.name)
     clean = tagged.where(F.size(rules) == 0)
     tagged = tagged.withColumn("__clean", F.size(rules) == 0)
     for rule_id, cols in key_rules(table):
         keys = clean.select(*cols).dropna().groupBy(*cols).count()
         taken = keys.where(F.col("count") > 1).select(*cols)
         if existing is not None:
-            stored = existing.select(*cols).join(keys.select(*cols), list(cols), "left_semi")
+            stored = of_batch(existing.select(*cols), keys.select(*cols), list(cols))
             taken = taken.unionByName(stored).distinct()
         looked = flag_members(tagged, cols, taken, "__dup", table.primary_key)
         tagged = flag(looked, F.col("__dup") & F.col("__clean"), rule_id).drop("__dup")
@@ -169,7 +180,7 @@ def write_batch(good: DataFrame, bad: DataFrame, root: str, table: str, batch: i
         .partitionBy(BATCH_COL).parquet(table_path(root, table)))
 
 
-def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+def stored_or_empty(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The rows of ``table`` under ``root``; none if it was never loaded, so
     that every reference to it is an orphan."""
     try:
@@ -180,13 +191,35 @@ def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
         return spark.createDataFrame([], TABLES[table].schema)
 
 
+def _stored_descendants(spark: SparkSession, root: str, given: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Copies of the stored tables that refer to a table of ``given``,
+    directly or through another of them, and are not given themselves."""
+    out: dict[str, DataFrame] = {}
+    reached = set(given)
+    for t in LOAD_ORDER:
+        if t.name in reached or not any(fk.parent in reached for fk in t.foreign_keys):
+            continue
+        stored = stored_or_empty(spark, root, t.name)
+        if not stored.isEmpty():
+            reached.add(t.name)
+            out[t.name] = cut(stored)  # its own files are about to be replaced
+    return out
+
+
 def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 batch: int = 0, append: bool = False) -> dict[str, int]:
     """Check and write ``tables`` parents first; returns rejected-row counts.
 
     ``append=False`` is the full rebuild (the first batch of a fresh root);
     ``append=True`` adds a new batch and checks keys against stored rows.
+
+    A rebuilt parent may lack keys that stored tables refer to.  Stored
+    children of the rebuilt tables, and theirs, that are not given are
+    therefore loaded again from storage, as this batch: their orphans go to
+    the rejected rows, and the result counts them.
     """
+    if not append:
+        tables = {**_stored_descendants(spark, root, tables), **tables}
     rejected: dict[str, int] = {}
     stored: dict[str, DataFrame] = {}
     for t in LOAD_ORDER:
@@ -197,7 +230,7 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
             if fk.parent in stored:
                 parents[fk.parent] = stored[fk.parent]
             else:
-                parents[fk.parent] = _stored(spark, root, fk.parent)
+                parents[fk.parent] = stored_or_empty(spark, root, fk.parent)
         if append:
             parents[t.name] = read_table(spark, root, t.name, exclude_batch=batch)
         tagged = check_rows(tables[t.name], t, parents).persist(StorageLevel.MEMORY_AND_DISK)

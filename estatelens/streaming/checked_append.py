@@ -3,7 +3,8 @@
 New Parquet files of raw rows arriving in a landing folder are read as a
 stream; every micro-batch is checked like an INSERT into the constrained
 table (defaults, row rules, key uniqueness against stored rows, foreign keys
-against the stored parents) and appended as its own ``load_batch``
+against the stored parents, of which one that was never loaded has no rows)
+and appended as its own ``load_batch``
 partition.  The batch id is the micro-batch id, and each partition is
 written with dynamic partition overwrite, so a micro-batch replayed after a
 failure replaces its own output: the sink is idempotent and the stream is
@@ -43,7 +44,7 @@ def checked_append_stream(spark: SparkSession, table: str, landing: str, root: s
         batch_id = STREAM_BATCH_BASE + epoch
         parents = {t.name: catalog.read_table(spark, root, t.name, exclude_batch=batch_id)}
         for fk in t.foreign_keys:
-            parents[fk.parent] = catalog.read_table(spark, root, fk.parent)
+            parents[fk.parent] = catalog.stored_or_empty(spark, root, fk.parent)
         tagged = catalog.check_rows(batch, t, parents).persist()
         good = tagged.where(F.size("failed_rules") == 0).drop("failed_rules")
         bad = tagged.where(F.size("failed_rules") > 0)
