@@ -218,6 +218,15 @@ def rental_vs_sale_demand(t: Tables, as_of=None) -> DataFrame:
     )
 
 
+def offer_outcomes(t: Tables) -> DataFrame:
+    """Offers with their contract's status (a contract belongs to one offer,
+    so nothing fans out); the stored table of that name, if there is one."""
+    if "offer_outcomes" in t:
+        return t["offer_outcomes"]
+    return t["offers"].select("offer_id", "listing_id", "status").join(
+        t["contracts"].select("offer_id", "contract_status"), "offer_id", "left")
+
+
 def listing_stage_conversion(t: Tables, as_of=None) -> DataFrame:
     """Listings of the last 12 months per (listing type, city): how many
     reached each pipeline stage (inquiry, offer, accepted offer, closed
@@ -232,11 +241,9 @@ def listing_stage_conversion(t: Tables, as_of=None) -> DataFrame:
         .distinct()
         .withColumn("has_inquiry", F.lit(True))
     )
-    # Stage flags per listing from its offers (a contract belongs to one offer).
+    # Stage flags per listing from its offers
     offer_stages = (
-        t["offers"]
-        .select("offer_id", "listing_id", "status")
-        .join(t["contracts"].select("offer_id", "contract_status"), "offer_id", "left")
+        offer_outcomes(t)
         .groupBy("listing_id")
         .agg(
             F.lit(True).alias("has_offer"),

@@ -24,6 +24,7 @@ from estatelens.operators import (
     sampling,
 )
 from estatelens.plans import incremental
+from estatelens.sources import bucketed
 
 Job = Callable[..., DataFrame]
 
@@ -105,6 +106,15 @@ INCREMENTAL: dict[str, Job] = {
     f"incremental_{name}": partial(incremental.from_batches, name) for name in incremental.MARTS
 }
 
+def _from_stored(name: str, tables, as_of=None) -> DataFrame:
+    return ANALYTICS[name](bucketed.stored(tables), as_of)
+
+
+# Jobs over tables that are stored co-partitioned by listing.
+STORED: dict[str, Job] = {
+    f"stored_{name}": partial(_from_stored, name) for name in ("rental_vs_sale_demand", "listing_stage_conversion")
+}
+
 # Results that are not rounded by the query itself; compared at 6 dp.
 UNROUNDED = {"sold_with_price_reduction_pct": 6}
 
