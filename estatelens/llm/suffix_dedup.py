@@ -10,9 +10,12 @@ its minimizer, the least hash of its grams; equal windows have equal
 minimizers.  Minimizers that occur once are put aside with a Bloom filter of
 bounded size.  Runs of windows with the same minimizer travel as one string
 to the task that orders them, so equal windows meet, at a few bytes each.
-Inside a chunk of documents all but the first of equal windows are settled
-before the shuffle: what a third of the documents share arrives as one
-string a chunk.
+There a longest-previous-factor array is made: from the suffix order, the
+common prefixes of neighbours in it, and the previous and next smaller
+positions.  Lengths are counted up to ``window``, which is what decides.
+Inside a chunk of documents all but the first of equal windows, found by a
+rolling hash and compared byte by byte, are settled before the shuffle: what
+a third of the documents share arrives as one string a chunk.
 """
 
 from __future__ import annotations
@@ -71,6 +74,16 @@ def _repeated_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return found.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
 
 
+def _same_bytes(data: np.ndarray, at: np.ndarray, other: np.ndarray, window: int) -> bool:
+    """Whether the windows at ``at`` (ascending) and ``other`` are equal.
+    Where both go on from the window before, only the new byte is compared."""
+    on = np.zeros(len(at), bool)
+    on[1:] = (np.diff(at) == 1) & (np.diff(other) == 1)
+    a, b = at[~on], other[~on]
+    return bool((data[at + window - 1] == data[other + window - 1]).all()) and all(
+        bool((data[a + k] == data[b + k]).all()) for k in range(window - 1))
+
+
 _PART = "doc_id long, key long, first int, last int, h long, string binary"
 
 
@@ -101,6 +114,10 @@ def _strings(docs: DataFrame, repeated, window: int, gram: int) -> DataFrame:
             at, place = at[fresh], place[fresh]
             _, one, back = np.unique(m.roll(at, at + window), return_index=True, return_inverse=True)
             later = one[back] != np.arange(len(at))
+            if not _same_bytes(data, at[later], at[one[back[later]]], window):  # a hash that two strings share
+                said = np.array([data[i:i + window].tobytes() for i in at.tolist()], object)
+                _, one, back = np.unique(said, return_index=True, return_inverse=True)
+                later = one[back] != np.arange(len(at))
             s, e = runs(at[later])
             at, place = at[~later], place[~later]
             brk = np.flatnonzero((np.diff(at) != 1) | (np.diff(place) != 0)) + 1
@@ -149,18 +166,69 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return np.unique(rank[at], return_inverse=True)[1]
 
 
-def previous_factor(rank: np.ndarray, *position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order (ties by position) and, for each place in it, whether the
-    longest previous factor reaches the length the ranks were made with.
-
-    Suffixes that share that much are neighbours, in order of position: the
-    previous smaller position is to the left, unless a suffix is the first
-    of its run (or starts where the first does), and the next smaller one
-    is in another run, which shares less."""
+def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes, ``most`` at most, the suffixes at ``a`` and ``b`` have
+    in common; eight are compared at a time."""
+    padded = np.concatenate([text, np.zeros(most + 16, np.uint8)]).astype(np.uint64)
+    eight = np.zeros(len(text) + most + 8, np.uint64)
+    for k in range(8):
+        eight |= padded[k:k + len(eight)] << np.uint64(56 - 8 * k)
+    out = np.full(len(a), most)
+    live = np.arange(len(a))
+    for at in range(0, most, 8):
+        x = eight[a[live] + at] ^ eight[b[live] + at]
+        differ = x != 0
+        equal = sum(((x[differ] >> np.uint64(64 - 8 * k)) == 0).astype(np.int64) for k in range(1, 8))
+        out[live[differ]] = np.minimum(at + equal, most)
+        live = live[~differ]
+    return out
+
+
+def _nearest_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each place: the common prefix with the nearest place to its left
+    that has a smaller position, 0 without one.  ``lcp`` is that with the
+    place before.  All places look further left at once, each by as far as
+    the place it looks at has come."""
+    at, shared = np.arange(len(position)) - 1, lcp.copy()
+
+    def looking(i: np.ndarray) -> np.ndarray:
+        return i[(at[i] >= 0) & (position[np.maximum(at[i], 0)] >= position[i])]
+
+    live = looking(np.arange(len(position)))
+    while len(live):
+        j = at[live]
+        shared[live] = np.minimum(shared[live], shared[j])
+        at[live] = at[j]
+        live = looking(live)
+    shared[at < 0] = 0
+    return shared
+
+
+def previous_factor(text: np.ndarray, at: np.ndarray, rank: np.ndarray, most: int, *position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix order of the suffixes at ``at`` (ties by position), and the
+    longest-previous-factor array along it: the length, up to ``most``, of
+    the longest prefix of a suffix that also starts at a smaller position.
+
+    The suffix that shares most with it and starts earlier is at its previous
+    or its next smaller position in suffix order.  ``rank`` orders the
+    suffixes by their first ``most`` bytes; suffixes at one position (the
+    last of ``position`` varying fastest) are not earlier than each other."""
     order = np.lexsort((*reversed(position), rank))
-    run = np.concatenate([[True], rank[order][1:] != rank[order][:-1]])
-    head = order[np.flatnonzero(run)][np.cumsum(run) - 1]
-    return order, ~np.logical_and.reduce([p[order] == p[head] for p in position])
+    if not len(order):
+        return order, np.zeros(0, np.int64)
+    r, a = rank[order], at[order]
+    lcp = np.zeros(len(order), np.int64)
+    lcp[1:] = most
+    new = 1 + np.flatnonzero(r[1:] != r[:-1])
+    lcp[new] = common_prefix(text, a[new - 1], a[new], most)
+    by_place = np.lexsort(tuple(reversed(position)))
+    step = np.logical_or.reduce([p[by_place][1:] != p[by_place][:-1] for p in position])
+    place = np.empty(len(order), np.int64)
+    place[by_place] = np.concatenate([[0], np.cumsum(step)])
+    place = place[order]
+    left = _nearest_smaller(place, lcp)
+    right = _nearest_smaller(place[::-1], np.concatenate([[0], lcp[1:][::-1]]))[::-1]
+    return order, np.maximum(left, right)
 
 
 def _later(t: pa.Table, window: int) -> tuple[np.ndarray, ...]:
@@ -177,8 +245,8 @@ def _later(t: pa.Table, window: int) -> tuple[np.ndarray, ...]:
     doc = t.column("doc_id").fill_null(last).to_numpy()[row]
     key = t.column("key").to_numpy()[row]
     start = t.column("first").to_numpy().astype(np.int64)[row] + inside
-    order, later = previous_factor(suffix_ranks(text, at, window), doc, key, start)
-    return order, later, row, inside, at, text, start
+    order, length = previous_factor(text, at, suffix_ranks(text, at, window), window, doc, key, start)
+    return order, length >= window, row, inside, at, text, start
 
 
 def _distinct(t: pa.Table, window: int) -> tuple[pa.Table, pa.RecordBatch]:
