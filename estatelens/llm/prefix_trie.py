@@ -27,7 +27,7 @@ from estatelens.operators.heavy import split_join
 from estatelens.operators.ordered import segmented_scan
 
 #: Turns of a container that a task sorts.
-CONTAINER = 8192
+CONTAINER = 1024
 #: Conversations that share their first turns: c - c % FAMILY and those after.
 FAMILY = 20
 #: Most turns taken from the family's first conversation, plus one.
