@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.shared import cut
+from estatelens.llm.shared import cut, shuffle_partitions
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """Each node with its least neighbour (itself included).  Redistributed,
-    so that the join below exchanges both sides and skewed keys split."""
+    """Each node with its least neighbour (itself included).  Redistributed
+    into as many parts as a shuffle has, so that the join below exchanges
+    both sides and skewed keys split."""
     return (edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("low"))
-            .repartition(edges.sparkSession.sparkContext.defaultParallelism))
+            .repartition(shuffle_partitions(edges)))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -46,6 +46,11 @@ def small_or_shuffled(table: DataFrame, bytes_per_row: int, limit: int = BROADCA
     return F.broadcast(table) if table.count() * bytes_per_row <= limit else table
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """How many parts a shuffle has, which is set by the size of the data."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, everything else unchanged; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

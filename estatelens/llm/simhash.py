@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.bytesops import LOWER, SPACE, chunks, spans
 from estatelens.llm.components import components
-from estatelens.llm.shared import cut, one_of_each, small_or_shuffled
+from estatelens.llm.shared import cut, one_of_each, shuffle_partitions, small_or_shuffled
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -188,7 +188,7 @@ def _named(nodes: DataFrame, max_bits: int) -> DataFrame:
     found = components(near_links(nodes.select("fp"), max_bits).distinct())
     roots = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = roots.groupBy("root").agg(F.min("least").alias("least"))
-    return cut(roots.select("fp", "root").repartition(nodes.sparkSession.sparkContext.defaultParallelism)
+    return cut(roots.select("fp", "root").repartition(shuffle_partitions(nodes))
                .join(cut(named), "root").select(F.col("fp").alias("__fp"), "least"))
 
 
