@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from estatelens.operators.lineage import cut
 from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
 Tables = Mapping[str, DataFrame]
@@ -175,24 +176,65 @@ def row_rule_report(t: Tables, as_of=None) -> DataFrame:
     return _union(row_rule_counts(t[tb.name], tb) for tb in LOAD_ORDER)
 
 
+def _marks(t: Tables, row_rules: bool = False, keys: bool = False, foreign_keys: bool = False) -> DataFrame:
+    """(table_name, key, family, rule_id, parent, value) of all tables, each
+    scanned once: a row for every broken row rule (family ``row``), for every
+    filled key (``key``) and for every filled reference (``ref``, with the
+    table it refers to).  Values are strings, so all rules share columns."""
+    none = F.lit(None).cast("string")
+
+    def mark(family: str, rule, parent, value):
+        return F.struct(F.lit(family).alias("family"), rule.alias("rule_id"), parent.alias("parent"), value.alias("value"))
+
+    parts = []
+    for tb in LOAD_ORDER:
+        df = t[tb.name]
+        found = []
+        if keys:
+            for rid, cols in key_rules(tb):
+                filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+                value = F.col(cols[0]).cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols))
+                primary = F.lit(tb.name) if cols == (tb.primary_key,) else none
+                found.append(F.when(filled, mark("key", F.lit(rid), primary, value)))
+        if foreign_keys:
+            for fk in tb.foreign_keys:
+                value = F.col(fk.column).cast("string")
+                found.append(F.when(F.col(fk.column).isNotNull(), mark("ref", F.lit(_fk_rule_id(fk)), F.lit(fk.parent), value)))
+        marks = F.filter(F.array(*found), lambda m: m.isNotNull()) if found else None
+        if row_rules:
+            df, _ = split(df, tb, keep_tagged=True)
+            broken = F.transform("failed_rules", lambda r: mark("row", r, none, none))
+            marks = F.concat(marks, broken) if marks is not None else broken
+        if marks is not None:
+            parts.append(df.select(F.lit(tb.name).alias("table_name"), F.col(tb.primary_key).cast("bigint").alias("key"),
+                                   F.explode(marks).alias("m")).select("table_name", "key", "m.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _shared(marks: DataFrame) -> DataFrame:
+    """Key values that more than one row has."""
+    return marks.where(F.col("family") == "key").groupBy("table_name", "rule_id", "value").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def _orphan_marks(marks: DataFrame) -> DataFrame:
+    """References whose value is no primary key of the parent."""
+    known = marks.where((F.col("family") == "key") & F.col("parent").isNotNull()).select("parent", "value")
+    return marks.where(F.col("family") == "ref").join(known, ["parent", "value"], "left_anti")
+
+
 def key_rule_report(t: Tables, as_of=None) -> DataFrame:
-    """PRIMARY KEY / UNIQUE violation counts for all 14 tables: the
-    duplicate groups of every key are unioned and counted in one
-    aggregation."""
-    sizes = reduce(DataFrame.unionByName, [_duplicate_group_sizes(t[tb.name], tb) for tb in LOAD_ORDER])
-    counts = sizes.groupBy("table_name", "rule_id").agg(F.sum("n").alias("violations"))
+    """PRIMARY KEY / UNIQUE violation counts for all 14 tables: one scan of
+    each table, one grouping of all keys."""
+    counts = _shared(_marks(t, keys=True)).groupBy("table_name", "rule_id").agg(F.sum("n").alias("violations"))
     rules = [(tb.name, rid) for tb in LOAD_ORDER for rid, _ in key_rules(tb)]
     return _with_zeros(t["offices"].sparkSession, rules, counts)
 
 
 def foreign_key_report(t: Tables, as_of=None) -> DataFrame:
-    """Orphan counts for all 19 foreign keys (one aggregation over the
-    union of every anti join's rows)."""
-    orphan_rows = reduce(DataFrame.unionByName, [
-        orphans(t, tb, fk.column).select(
-            F.lit(tb.name).alias("table_name"), F.lit(_fk_rule_id(fk)).alias("rule_id"))
-        for tb in LOAD_ORDER for fk in tb.foreign_keys
-    ])
+    """Orphan counts for all 19 foreign keys: one scan of each table, one
+    anti join of all references with all primary keys."""
+    orphan_rows = _orphan_marks(cut(_marks(t, keys=True, foreign_keys=True)))
     counts = orphan_rows.groupBy("table_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
     rules = [(tb.name, _fk_rule_id(fk)) for tb in LOAD_ORDER for fk in tb.foreign_keys]
     return _with_zeros(t["offices"].sparkSession, rules, counts)
@@ -217,8 +259,13 @@ def violations(t: Tables, table: str | Table) -> DataFrame:
 
 
 def violation_report(t: Tables, as_of=None) -> DataFrame:
-    """Every row of the 14 tables that breaks a rule, with the rule."""
-    return _union(violations(t, tb) for tb in LOAD_ORDER)
+    """Every row of the 14 tables that breaks a rule, with the rule: one scan
+    of each table, then one grouping of all keys and one anti join of all
+    references over what the scans wrote."""
+    marks = cut(_marks(t, row_rules=True, keys=True, foreign_keys=True))
+    columns = ["table_name", "rule_id", "key"]
+    shared = marks.where(F.col("family") == "key").join(_shared(marks), ["table_name", "rule_id", "value"], "left_semi")
+    return _union([marks.where(F.col("family") == "row").select(*columns), shared.select(*columns), _orphan_marks(marks).select(*columns)])
 
 
 def apply_defaults(df: DataFrame, table: str | Table, load_ts=None) -> DataFrame:
