@@ -91,20 +91,26 @@ def segmented_scan(rows: DataFrame, key: Sequence[str], order: Sequence[Column |
 def _carry(buckets: DataFrame, key: Sequence[str], first, last, previous, running) -> DataFrame:
     """For the first and last key of every bucket what the key's rows in all
     buckets, or in those before, amount to: two rows a bucket at most."""
-    keys = F.struct(*key)
-    edges = buckets.groupBy(BUCKET).agg(F.min(keys).alias("lo"), F.max(keys).alias("hi"))
-    edges = edges.select(BUCKET, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("__key"))
-    edge_keys = F.broadcast(edges.select(F.col(BUCKET).alias("__of"), *[F.col(f"__key.{k}").alias(f"__key_{k}") for k in key]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in key])
-    values = sorted({*first.values(), *last.values(), *previous.values()}) or [PLACE]
-    parts = buckets.join(edge_keys, (F.col(BUCKET) == F.col("__of")) & same).groupBy("__of", *[f"__key_{k}" for k in key]).agg(
-        F.count(F.lit(1)).alias("__n"), F.min_by(F.struct(*values), F.col(PLACE)).alias("__lo"),
-        F.max_by(F.struct(*values), F.col(PLACE)).alias("__hi"), *[F.sum(c).alias(f"__sum_{n}") for n, c in running.items()])
+    names = [f"__key_{k}" for k in key]
+    tops = F.broadcast(buckets.groupBy(BUCKET).agg(F.max(PLACE).alias("__top")))
+    at_edge = (F.col(PLACE) == 0) | (F.col(PLACE) == F.col("__top"))
+    edges = buckets.join(tops, BUCKET).where(at_edge).select(
+        F.col(BUCKET).alias("__of"), *[F.col(k).alias(n) for k, n in zip(key, names)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)])
+    sums = buckets.join(F.broadcast(edges), (F.col(BUCKET) == F.col("__of")) & same).groupBy("__of", *names).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(PLACE).alias("__lo_at"), F.max(PLACE).alias("__hi_at"),
+        *[F.sum(c).alias(f"__sum_{n}") for n, c in running.items()])
+    # the values at both ends of each part
+    values = sorted({*first.values(), *last.values(), *previous.values()})
+    parts = sums
+    for end in ("lo", "hi"):
+        row = buckets.select(F.col(BUCKET).alias("__b"), F.col(PLACE).alias("__p"), *[F.col(v).alias(f"__{end}_{v}") for v in values])
+        parts = row.join(F.broadcast(parts), (F.col("__b") == F.col("__of")) & (F.col("__p") == F.col(f"__{end}_at"))).drop("__b", "__p")
     along = Window.partitionBy(*[f"__key_{k}" for k in key]).orderBy("__of")
     whole, before = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), along.rowsBetween(Window.unboundedPreceding, -1)
     return parts.select(
         "__of", *[f"__key_{k}" for k in key], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__c_number"),
-        *[F.first(F.col(f"__lo.{c}")).over(whole).alias(f"__c_first_{n}") for n, c in first.items()],
-        *[F.last(F.col(f"__hi.{c}")).over(whole).alias(f"__c_last_{n}") for n, c in last.items()],
-        *[F.lag(F.col(f"__hi.{c}")).over(along).alias(f"__c_previous_{n}") for n, c in previous.items()],
+        *[F.first(f"__lo_{c}").over(whole).alias(f"__c_first_{n}") for n, c in first.items()],
+        *[F.last(f"__hi_{c}").over(whole).alias(f"__c_last_{n}") for n, c in last.items()],
+        *[F.lag(f"__hi_{c}").over(along).alias(f"__c_previous_{n}") for n, c in previous.items()],
         *[F.sum(f"__sum_{n}").over(before).alias(f"__c_running_{n}") for n in running])
