@@ -28,34 +28,35 @@ def draw(key: Column, seed: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), key.cast("string")).cast("binary"))
 
 
-def sample_exact(rows: DataFrame, key: str, size: int, seed: str) -> DataFrame:
-    """Exactly ``size`` of ``rows`` (all, if there are fewer) without
-    replacement: those with the smallest draws of the unique ``key``.
+def sample_bound(keys: DataFrame, key: str, size: int, seed: str) -> Column:
+    """The condition on ``key`` that ``size`` of ``keys`` (unique, no NULL)
+    meet: those with the smallest draws.
 
     A histogram of the draws' first digits tells which buckets belong to the
     sample as a whole and which one is cut; that one is looked at with more
-    digits until it is small enough to be ordered.  Nothing else is sorted,
-    and no row moves."""
-    drawn = rows.withColumn("__draw", draw(F.col(key), seed))
-    draws = cut(drawn.select("__draw", F.col(key).cast("string").alias("__key")))
-    size = max(0, size)
+    digits until it is small enough to be ordered.  Nothing else is sorted."""
+    draws = cut(keys.select(draw(F.col(key), seed).alias("__draw"), F.col(key).cast("string").alias("__key")))
     if draws.count() <= size:
-        return rows
-    prefix, left = "", size  # draws below the prefix are in; `left` of those with it
-    while True:
-        bucket = draws.where(F.col("__draw").startswith(prefix)) if prefix else draws
-        if bucket.count() <= EXACT or len(prefix) >= 32:
-            break
+        return F.lit(True)
+    prefix, left, bucket = "", max(0, size), draws  # draws below the prefix are in; `left` of those with it
+    while bucket.count() > EXACT and len(prefix) < 32:
         sizes = bucket.groupBy(F.substring("__draw", 1, len(prefix) + DIGITS).alias("p")).agg(F.count(F.lit(1)).alias("n"))
         for r in sizes.orderBy("p").collect():  # 16 ** DIGITS rows at most
             if r["n"] > left:
                 prefix = r["p"]
                 break
             left -= r["n"]
+        bucket = draws.where(F.col("__draw").startswith(prefix))
     # the first draw that is out: its place in the bucket is `left`
     edge = bucket.orderBy("__draw", "__key").limit(left + 1).orderBy(F.desc("__draw"), F.desc("__key")).first()
-    out = (F.col("__draw") < edge["__draw"]) | ((F.col("__draw") == edge["__draw"]) & (F.col(key).cast("string") < edge["__key"]))
-    return drawn.where(out).drop("__draw")
+    own = draw(F.col(key), seed)
+    return (own < edge["__draw"]) | ((own == edge["__draw"]) & (F.col(key).cast("string") < edge["__key"]))
+
+
+def sample_exact(rows: DataFrame, key: str, size: int, seed: str) -> DataFrame:
+    """Exactly ``size`` of ``rows`` (all, if there are fewer) without
+    replacement, by the draws of the unique ``key``.  No row moves."""
+    return rows.where(sample_bound(rows.select(key), key, size, seed))
 
 
 def pick_parent(rows: DataFrame, key: str, parents: DataFrame, parent_key: str, seed: str, name: str) -> DataFrame:
