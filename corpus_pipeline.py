@@ -2,6 +2,14 @@
 
 Each stage calls one operator of ``estatelens.llm``, gets all that the stage
 before it kept, and is written as Parquet and read again for the next.
+
+Null and empty texts, and texts without a letter, have no language and go
+with the first stage.  Of equal texts the row with the largest doc_id stays
+(a null id loses), of near copies that with the smallest; rows that repeat
+both id and text are one row after these stages.  Columns beside those of
+``documents``, under whatever names, pass through every stage but the last.
+Long texts are worked on whole.  Empty tables give an empty result; an empty
+``benchmark`` contaminates nothing.
 """
 
 from __future__ import annotations
