@@ -45,7 +45,7 @@ def summarize(plan: str) -> dict:
 
 
 def main() -> None:
-    from estatelens.plans.registry import ANALYTICS, BUILDING_BLOCKS, QUALITY, REFERENTIAL
+    from estatelens.plans.registry import ANALYTICS, BUILDING_BLOCKS, INCREMENTAL, QUALITY, REFERENTIAL, ROW_ORDER, STORED
     from estatelens.session import get_spark
     from estatelens.sources import catalog
     from estatelens.sources.generator import generate
@@ -58,7 +58,7 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
 
-    jobs = {**ANALYTICS, **QUALITY, **BUILDING_BLOCKS, "agent_renumbering": REFERENTIAL["agent_renumbering"]}
+    jobs = {**ANALYTICS, **QUALITY, **REFERENTIAL, **BUILDING_BLOCKS, **ROW_ORDER, **INCREMENTAL, **STORED}
     print("| job | exchanges (reused) | sort-merge joins | hash aggs | sort aggs | windows | nested-loop/cartesian | scans (with pushed filters) | widest scan (cols) |")
     print("|---|---|---|---|---|---|---|---|---|")
     for name, job in jobs.items():
