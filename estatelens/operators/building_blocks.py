@@ -71,7 +71,7 @@ def customer_contacts(t: Tables, as_of=None) -> DataFrame:
     """Customers with the phone characters of their email and address kept
     (20 at most) and the address cut to eight characters."""
     return t["customers"].select(
-        "customer_id", clean_phone(F.concat_ws(" (x) ", "email", "address")).alias("phone_like"), truncate("address", 8).alias("short_address"))
+        "customer_id", clean_phone(F.concat("email", F.lit(" (x) "), "address")).alias("phone_like"), truncate("address", 8).alias("short_address"))
 
 
 def agent_licenses(t: Tables, as_of=None) -> DataFrame:
@@ -106,7 +106,7 @@ def listing_date_windows(t: Tables, as_of=None) -> DataFrame:
     midnight of the last update."""
     end = F.greatest(F.coalesce(F.date_sub("close_date", 60), "listing_date"), "listing_date")
     return t["listings"].select("listing_id", end.alias("end_date"), F.date_add(end, 90).alias("expires"),
-                                F.date_trunc("day", F.col("last_updated")).cast("date").alias("updated_day"))
+                                F.date_format(F.date_trunc("day", F.col("last_updated")), "yyyy-MM-dd HH:mm").alias("updated_day"))
 
 
 def commission_roundings(t: Tables, as_of=None) -> DataFrame:

@@ -25,7 +25,8 @@ def ranked_leads(t: Tables, as_of=None) -> DataFrame:
 
 
 def ranked_paid_commissions(t: Tables, as_of=None) -> DataFrame:
-    """Paid commissions by agent (ascending), amount (descending) and id."""
+    """Paid commissions by agent (ascending), amount (descending) and id;
+    NULLs are last ascending and first descending, as in PostgreSQL."""
     paid = t["commissions"].where(F.col("status") == "paid").select("commission_id", "agent_id", "commission_amount")
     return with_ordinal(paid, [asc("agent_id"), desc("commission_amount"), asc("commission_id")])
 
