@@ -20,7 +20,8 @@ def scratch(spark: SparkSession) -> str:
     temporary directory; on a cluster the setting is required."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "estatelens-checkpoints")
     return f"{base.rstrip('/')}/cut-{uuid.uuid4().hex}"
