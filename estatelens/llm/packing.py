@@ -26,7 +26,7 @@ SEQUENCE = 1024
 END_ID = 0
 #: Bytes of units and ids that a task remembers: the first it meets, which
 #: are mostly the frequent ones.  Others are encoded each time.
-MEMORY = 16 << 20
+MEMORY = 32 << 20
 #: What two bytes objects and their place in a dict take besides.
 _ENTRY = 180
 
