@@ -7,10 +7,10 @@ reports every violation:
 * row rules (NOT NULL, CHECK domain lists, CHECK ranges and cross-column
   predicates, VARCHAR lengths, NUMERIC precision) - one scan per table, all
   rules evaluated in the same projection;
-* key rules (PRIMARY KEY and UNIQUE) - one aggregation per key, combined
-  map-side, so a key that holds a third of the rows costs one partial row
-  per task;
-* foreign keys - one anti join per reference, on non-NULL values only.
+* key rules (PRIMARY KEY and UNIQUE) - an aggregation whose parts follow
+  the number of rows; a key that holds a third of the rows streams through
+  one task and takes one row of its memory;
+* foreign keys - anti joins on non-NULL values only.
 
 As in SQL, a CHECK whose predicate is NULL passes, and NULLs never collide
 in a UNIQUE key.
@@ -25,11 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators.lineage import cut
+from estatelens.operators.lineage import BROADCAST_BYTES, cut
 from estatelens.schemas import LOAD_ORDER, TABLES, Table
 
 Tables = Mapping[str, DataFrame]
 
+#: Rows that one part of a grouping or join of all tables gets on average.
+ROWS_A_PART = 500_000
+#: What a key takes in a broadcast table, in bytes.
+KEY_BYTES = 64
 
 
 def _fails(pred: Column) -> Column:
@@ -176,6 +180,135 @@ def row_rule_report(t: Tables, as_of=None) -> DataFrame:
     return _union(row_rule_counts(t[tb.name], tb) for tb in LOAD_ORDER)
 
 
+def _parts(rows: int) -> int:
+    """Parts of a shuffle of so many rows: each part stays as small on any
+    input, whatever the session's number of shuffle partitions."""
+    return 1 + rows // ROWS_A_PART
+
+
+def _foreign_key_ids(tb: Table) -> list[str]:
+    return [_fk_rule_id(fk) for fk in tb.foreign_keys]
+
+
+def _unique_ids(tb: Table) -> list[str]:
+    return [rid for rid, _ in key_rules(tb)[1:]]
+
+
+def _primary_id(tb: Table) -> list[str]:
+    return [key_rules(tb)[0][0]]
+
+
+def _by_table(values: list[list], at: Column) -> Column:
+    """``values[tab][at]``, a lookup in literals."""
+    return F.element_at(F.element_at(F.array(*[F.array(*[F.lit(v) for v in x]) for x in values]), F.col("tab") + 1), at + 1)
+
+
+def _named(rows: DataFrame, kind, at: Column, *columns: str) -> DataFrame:
+    """(table_name, rule_id, ``columns``) of rows with a table number, where
+    ``at`` is the rule's place within the table."""
+    ids = [kind(tb) or [None] for tb in LOAD_ORDER]
+    return rows.select(F.element_at(F.array(*[F.lit(tb.name) for tb in LOAD_ORDER]), F.col("tab") + 1).alias("table_name"),
+                       _by_table(ids, at).alias("rule_id"), *columns)
+
+
+def _scanned(t: Tables, row_rules_too: bool = False, keys: bool = False, foreign_keys: bool = False) -> tuple[DataFrame, list[list[str]]]:
+    """What the rules need of all tables, each scanned once, and cut: a row
+    for every row, with the table's number ``tab``, its primary ``key``, the
+    UNIQUE values ``uniques`` as text (NULL unless all columns are filled),
+    the references ``refs`` and ``broken``, a bit for every broken row rule
+    (at most 63 a table).  Also the row rules' ids, table by table."""
+    parts, ids = [], []
+    for i, tb in enumerate(LOAD_ORDER):
+        df = t[tb.name]
+        columns = [F.lit(i).alias("tab"), F.col(tb.primary_key).cast("bigint").alias("key")]
+        if keys:
+            uniques = []
+            for _, cols in key_rules(tb)[1:]:
+                filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+                uniques.append(F.when(filled, F.col(cols[0]).cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols))))
+            columns.append((F.array(*uniques) if uniques else F.lit(None).cast("array<string>")).alias("uniques"))
+        if foreign_keys:
+            refs = [F.col(fk.column).cast("bigint") for fk in tb.foreign_keys]
+            columns.append((F.array(*refs) if refs else F.lit(None).cast("array<bigint>")).alias("refs"))
+        if row_rules_too:
+            rules = row_rules(tb, df)
+            ids.append([rid for rid, _ in rules])
+            bits = [F.when(v, F.lit(1 << b)).otherwise(F.lit(0)).cast("bigint") for b, (_, v) in enumerate(rules)]
+            columns.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias("broken"))
+        parts.append(df.select(*columns))
+    return cut(reduce(DataFrame.unionByName, parts)), ids
+
+
+def _shared_keys(scanned: DataFrame, rows: int) -> DataFrame:
+    """(tab, key, n) of primary keys that n > 1 rows have."""
+    keys = scanned.where(F.col("key").isNotNull()).select("tab", "key")
+    return keys.repartition(_parts(rows), "tab", "key").groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def _unique_values(scanned: DataFrame, rows: int) -> DataFrame:
+    """(tab, at, value, key) of all filled UNIQUE values, dealt by value."""
+    tabs = [i for i, tb in enumerate(LOAD_ORDER) if tb.unique]
+    values = scanned.where(F.col("tab").isin(tabs)).select("tab", "key", F.posexplode("uniques").alias("at", "value"))
+    return values.where(F.col("value").isNotNull()).repartition(_parts(rows), "tab", "at", "value")
+
+
+def _shared_uniques(scanned: DataFrame, rows: int) -> DataFrame:
+    """(tab, at, value, n) of UNIQUE values that n > 1 rows have."""
+    return _unique_values(scanned, rows).groupBy("tab", "at", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def _orphan_refs(scanned: DataFrame) -> DataFrame:
+    """(tab, key, at) of references whose value is no primary key of the
+    parent.  The keys of small parents are broadcast; the others are hashed,
+    part by part, and the references stream past them, so a value that many
+    rows refer to takes time in one task but no memory."""
+    number = {tb.name: i for i, tb in enumerate(LOAD_ORDER)}
+    parents = [[number[fk.parent] for fk in tb.foreign_keys] or [None] for tb in LOAD_ORDER]
+    sizes = {r.tab: r["count"] for r in scanned.groupBy("tab").count().collect()}
+    small, room = [], BROADCAST_BYTES // KEY_BYTES
+    for p in sorted({p for x in parents for p in x if p is not None}, key=lambda p: sizes.get(p, 0)):
+        room -= sizes.get(p, 0)
+        if room < 0:
+            break
+        small.append(p)
+    known = scanned.where(F.col("key").isNotNull()).select(F.col("tab").alias("parent"), F.col("key").alias("value"))
+    tabs = [i for i, tb in enumerate(LOAD_ORDER) if tb.foreign_keys]
+    refs = scanned.where(F.col("tab").isin(tabs)).select("tab", "key", F.posexplode("refs").alias("at", "value")).where(
+        F.col("value").isNotNull()).withColumn("parent", _by_table(parents, F.col("at")))
+    same, out = ["parent", "value"], []
+    others = sorted({p for x in parents for p in x if p is not None} - set(small))
+    if small:
+        out.append(refs.where(F.col("parent").isin(small)).join(F.broadcast(known.where(F.col("parent").isin(small))), same, "left_anti"))
+    if others:
+        n = _parts(sum(sizes.values()))
+        keys = known.where(F.col("parent").isin(others)).repartition(n, *same).distinct().withColumn("found", F.lit(True))
+        # an outer join: an anti join would be pushed below the repartitioning
+        dealt = refs.where(F.col("parent").isin(others)).repartition(n, *same)
+        out.append(dealt.join(keys.hint("shuffle_hash"), same, "left").where(F.col("found").isNull()).drop("found"))
+    return _union(out).select("tab", "key", "at")
+
+
+def key_rule_report(t: Tables, as_of=None) -> DataFrame:
+    """PRIMARY KEY / UNIQUE violation counts for all 14 tables: one scan of
+    each table, one grouping of all primary keys and one of all others."""
+    scanned, _ = _scanned(t, keys=True)
+    rows = scanned.count()
+    counts = _union([_named(_shared_keys(scanned, rows), _primary_id, F.lit(0), "n"),
+                     _named(_shared_uniques(scanned, rows), _unique_ids, F.col("at"), "n")])
+    rules = [(tb.name, rid) for tb in LOAD_ORDER for rid, _ in key_rules(tb)]
+    return _with_zeros(t["offices"].sparkSession, rules, counts.groupBy("table_name", "rule_id").agg(F.sum("n").alias("violations")))
+
+
+def foreign_key_report(t: Tables, as_of=None) -> DataFrame:
+    """Orphan counts for all 19 foreign keys: one scan of each table, then
+    anti joins of all references with all primary keys."""
+    scanned, _ = _scanned(t, foreign_keys=True)
+    orphan_rows = _named(_orphan_refs(scanned), _foreign_key_ids, F.col("at"))
+    counts = orphan_rows.groupBy("table_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
+    rules = [(tb.name, _fk_rule_id(fk)) for tb in LOAD_ORDER for fk in tb.foreign_keys]
+    return _with_zeros(t["offices"].sparkSession, rules, counts)
+
+
 def _marks(t: Tables, row_rules: bool = False, keys: bool = False, foreign_keys: bool = False) -> DataFrame:
     """(table_name, key, family, rule_id, parent, value) of all tables, each
     scanned once: a row for every broken row rule (family ``row``), for every
@@ -223,23 +356,6 @@ def _orphan_marks(marks: DataFrame) -> DataFrame:
     return marks.where(F.col("family") == "ref").join(known, ["parent", "value"], "left_anti")
 
 
-def key_rule_report(t: Tables, as_of=None) -> DataFrame:
-    """PRIMARY KEY / UNIQUE violation counts for all 14 tables: one scan of
-    each table, one grouping of all keys."""
-    counts = _shared(_marks(t, keys=True)).groupBy("table_name", "rule_id").agg(F.sum("n").alias("violations"))
-    rules = [(tb.name, rid) for tb in LOAD_ORDER for rid, _ in key_rules(tb)]
-    return _with_zeros(t["offices"].sparkSession, rules, counts)
-
-
-def foreign_key_report(t: Tables, as_of=None) -> DataFrame:
-    """Orphan counts for all 19 foreign keys: one scan of each table, one
-    anti join of all references with all primary keys."""
-    orphan_rows = _orphan_marks(cut(_marks(t, keys=True, foreign_keys=True)))
-    counts = orphan_rows.groupBy("table_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
-    rules = [(tb.name, _fk_rule_id(fk)) for tb in LOAD_ORDER for fk in tb.foreign_keys]
-    return _with_zeros(t["offices"].sparkSession, rules, counts)
-
-
 def violations(t: Tables, table: str | Table) -> DataFrame:
     """Every violating row of ``table``: (table_name, rule_id, key).
 

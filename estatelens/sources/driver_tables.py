@@ -24,6 +24,9 @@ from estatelens.schemas import conform
 # Fixed value: the date the derived data is anchored to; queries run "as of" it.
 AS_OF = dt.date(2024, 2, 1)
 
+#: Rows that one part of a sort by listing gets on average.
+ROWS_A_PART = 500_000
+
 
 def cycle(x: Column, values: tuple[str, ...]) -> Column:
     """values[x mod len(values)] - a deterministic categorical column."""
@@ -80,6 +83,12 @@ class DriverTables(Mapping[str, DataFrame]):
     def src(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _dealt(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` dealt by listing.  The parts follow the number of rows of
+        the driver table ``name``, so that what a task sorts stays as small
+        on any input (counting a table's rows reads its footers)."""
+        return rows.repartition(1 + self.src(name).count() // ROWS_A_PART, "listing_id")
+
     # -- the 14 tables ----------------------------------------------------
     def _offices(self) -> DataFrame:
         r = self.src("region")
@@ -208,7 +217,7 @@ class DriverTables(Mapping[str, DataFrame]):
         # rank inside its order, offset by a multiple of the key range:
         # unique and ordered like (listing, line) without a global sort.
         li = self.src("lineitem")
-        li = li.withColumn("listing_id", F.col("l_orderkey") + 1)
+        li = self._dealt(li.withColumn("listing_id", F.col("l_orderkey") + 1), "lineitem")
         w = Window.partitionBy("listing_id").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
         )
@@ -289,7 +298,7 @@ class DriverTables(Mapping[str, DataFrame]):
     def _offers(self) -> DataFrame:
         o = self.src("orders")
         k = F.col("o_orderkey")
-        o = o.withColumn("listing_id", k - k % 3 + 1)
+        o = self._dealt(o.withColumn("listing_id", k - k % 3 + 1), "orders")
         listings = self["listings"].select("listing_id", "listing_price", "listing_date")
         factor = dec_frac(k % 31 + 85, 100, 4, 2, 5)
         return o.join(listings, "listing_id").select(

@@ -167,3 +167,26 @@ def test_no_orphans_after_cascading_deletes(spark):
         bad = quality.foreign_key_report(res.tables).where("violations > 0").collect()
         assert bad == [], (table, bad)
         assert res.tables[table].count() == t[table].count() - keys.distinct().count()
+
+
+def test_parts_of_the_key_report_follow_the_rows(spark, monkeypatch, capsys):
+    customer = lambda i: dict(customer_id=i, first_name="f", last_name="l", email=f"e{i}", customer_type="buyer", created_date=d("2023-01-01"))
+    t = tables(spark, customers=[customer(i) for i in range(90)])
+    monkeypatch.setattr(quality, "ROWS_A_PART", 10)
+    quality.key_rule_report(t).explain()
+    assert "10), REPARTITION_BY_NUM" in capsys.readouterr().out
+
+
+def test_sorts_by_listing_are_dealt_by_the_rows(spark, monkeypatch, tmp_path, capsys):
+    import importlib
+
+    driver_tables = importlib.import_module("estatelens.sources.driver_tables")
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "100.0D AS o_totalprice").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(80).selectExpr("id % 40 AS l_orderkey", "cast(id AS int) AS l_linenumber", "id AS l_partkey", "id AS l_suppkey",
+                               "10.0D AS l_extendedprice", "1.0D AS l_quantity", "0.01D AS l_discount").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(driver_tables, "ROWS_A_PART", 4)
+    t = driver_tables.DriverTables(spark, str(tmp_path))
+    for name, rows, parts in (("property_price_history", 80, 21), ("offers", 40, 11)):
+        t[name].explain()
+        assert f"{parts}), REPARTITION_BY_NUM" in capsys.readouterr().out
+        assert t[name].count() == rows
