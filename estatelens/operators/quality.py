@@ -309,53 +309,6 @@ def foreign_key_report(t: Tables, as_of=None) -> DataFrame:
     return _with_zeros(t["offices"].sparkSession, rules, counts)
 
 
-def _marks(t: Tables, row_rules: bool = False, keys: bool = False, foreign_keys: bool = False) -> DataFrame:
-    """(table_name, key, family, rule_id, parent, value) of all tables, each
-    scanned once: a row for every broken row rule (family ``row``), for every
-    filled key (``key``) and for every filled reference (``ref``, with the
-    table it refers to).  Values are strings, so all rules share columns."""
-    none = F.lit(None).cast("string")
-
-    def mark(family: str, rule, parent, value):
-        return F.struct(F.lit(family).alias("family"), rule.alias("rule_id"), parent.alias("parent"), value.alias("value"))
-
-    parts = []
-    for tb in LOAD_ORDER:
-        df = t[tb.name]
-        found = []
-        if keys:
-            for rid, cols in key_rules(tb):
-                filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-                value = F.col(cols[0]).cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols))
-                primary = F.lit(tb.name) if cols == (tb.primary_key,) else none
-                found.append(F.when(filled, mark("key", F.lit(rid), primary, value)))
-        if foreign_keys:
-            for fk in tb.foreign_keys:
-                value = F.col(fk.column).cast("string")
-                found.append(F.when(F.col(fk.column).isNotNull(), mark("ref", F.lit(_fk_rule_id(fk)), F.lit(fk.parent), value)))
-        marks = F.filter(F.array(*found), lambda m: m.isNotNull()) if found else None
-        if row_rules:
-            df, _ = split(df, tb, keep_tagged=True)
-            broken = F.transform("failed_rules", lambda r: mark("row", r, none, none))
-            marks = F.concat(marks, broken) if marks is not None else broken
-        if marks is not None:
-            parts.append(df.select(F.lit(tb.name).alias("table_name"), F.col(tb.primary_key).cast("bigint").alias("key"),
-                                   F.explode(marks).alias("m")).select("table_name", "key", "m.*"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _shared(marks: DataFrame) -> DataFrame:
-    """Key values that more than one row has."""
-    return marks.where(F.col("family") == "key").groupBy("table_name", "rule_id", "value").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-
-
-def _orphan_marks(marks: DataFrame) -> DataFrame:
-    """References whose value is no primary key of the parent."""
-    known = marks.where((F.col("family") == "key") & F.col("parent").isNotNull()).select("parent", "value")
-    return marks.where(F.col("family") == "ref").join(known, ["parent", "value"], "left_anti")
-
-
 def violations(t: Tables, table: str | Table) -> DataFrame:
     """Every violating row of ``table``: (table_name, rule_id, key).
 
@@ -374,14 +327,28 @@ def violations(t: Tables, table: str | Table) -> DataFrame:
     return _union(parts).select(F.lit(tb.name).alias("table_name"), "rule_id", "key")
 
 
+def _repeated(groups: DataFrame) -> DataFrame:
+    """``groups`` with a row for each of their n rows."""
+    blocks = groups.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(n - 1) div 1024"))))
+    return blocks.withColumn("one", F.explode(F.array_repeat(F.lit(1), F.least(F.lit(1024), F.col("n") - F.col("block") * 1024).cast("int"))))
+
+
 def violation_report(t: Tables, as_of=None) -> DataFrame:
     """Every row of the 14 tables that breaks a rule, with the rule: one scan
-    of each table, then one grouping of all keys and one anti join of all
-    references over what the scans wrote."""
-    marks = cut(_marks(t, row_rules=True, keys=True, foreign_keys=True))
-    columns = ["table_name", "rule_id", "key"]
-    shared = marks.where(F.col("family") == "key").join(_shared(marks), ["table_name", "rule_id", "value"], "left_semi")
-    return _union([marks.where(F.col("family") == "row").select(*columns), shared.select(*columns), _orphan_marks(marks).select(*columns)])
+    of each table, then one grouping of all primary keys, one of all UNIQUE
+    values and anti joins of all references over what the scans wrote."""
+    scanned, row_ids = _scanned(t, row_rules_too=True, keys=True, foreign_keys=True)
+    rows = scanned.count()
+    broken = scanned.where(F.col("broken") != 0).select("tab", "key", "broken", F.explode(
+        F.sequence(F.lit(0), F.lit(max(map(len, row_ids)) - 1))).alias("at")).where(F.expr("shiftright(broken, at) & 1 = 1"))
+    number = {tb.name: i for i, tb in enumerate(LOAD_ORDER)}
+    uniques = _unique_values(scanned, rows).join(_shared_uniques(scanned, rows).hint("shuffle_hash"), ["tab", "at", "value"])
+    return _union([
+        _named(broken, lambda tb: row_ids[number[tb.name]], F.col("at"), "key"),
+        _named(_repeated(_shared_keys(scanned, rows)), _primary_id, F.lit(0), "key"),
+        _named(uniques, _unique_ids, F.col("at"), "key"),
+        _named(_orphan_refs(scanned), _foreign_key_ids, F.col("at"), "key"),
+    ])
 
 
 def apply_defaults(df: DataFrame, table: str | Table, load_ts=None) -> DataFrame:

@@ -169,6 +169,33 @@ def test_no_orphans_after_cascading_deletes(spark):
         assert res.tables[table].count() == t[table].count() - keys.distinct().count()
 
 
+def test_reports_deal_parts_by_rows_and_keep_every_violation(spark, monkeypatch):
+    """Small parts, parents broadcast or not, keys that many rows share."""
+    team = lambda i, office: dict(team_id=i, team_name="t", office_id=office)
+    agent = lambda i, email, o, tm: dict(agent_id=i, office_id=o, team_id=tm, first_name="f", last_name="l", email=email,
+                                         license_number=None, hire_date=d("2020-01-01"))
+    t = tables(spark, offices=[dict(office_id=i, office_name="o", address="a", city="c", state="NY", zip_code="1") for i in (1, 1, 2)],
+               teams=[team(3, 1)] * 1500 + [team(4, 9), team(5, None), team(None, 8)],
+               agents=[agent(i, f"e{i // 2}", 1, 77 if i % 3 else 3) for i in range(1, 41)])
+    expected = ([("offices", "primary_key:office_id", 1)] * 2 + [("teams", "primary_key:team_id", 3)] * 1500
+                + [("teams", "foreign_key:office_id->offices", None), ("teams", "foreign_key:office_id->offices", 4)]
+                + [("teams", "not_null:team_id", None)]
+                + [("agents", "unique:email", i) for i in range(2, 40)]
+                + [("agents", "foreign_key:team_id->teams", i) for i in range(1, 41) if i % 3]
+                + [("agents", "not_null:license_number", i) for i in range(1, 41)])
+    expected.sort(key=lambda r: (r[0], r[1], r[2] or 0))
+    monkeypatch.setattr(quality, "ROWS_A_PART", 100)
+    n = {(a, b): sum(1 for x in expected if x[:2] == (a, b)) for a, b, _ in expected}
+    assert {k: v for k, v in _counts(quality.key_rule_report(t)).items() if v} == {
+        k: v for k, v in n.items() if k[1].startswith(("primary", "unique"))}
+    for room in (3 * quality.KEY_BYTES, 0):
+        monkeypatch.setattr(quality, "BROADCAST_BYTES", room)
+        got = [(r.table_name, r.rule_id, r.key) for r in quality.violation_report(t).collect()]
+        assert sorted(got, key=lambda r: (r[0], r[1], r[2] or 0)) == expected
+    assert {k: v for k, v in _counts(quality.foreign_key_report(t)).items() if v} == {
+        k: v for k, v in n.items() if k[1].startswith("foreign")}
+
+
 def test_parts_of_the_key_report_follow_the_rows(spark, monkeypatch, capsys):
     customer = lambda i: dict(customer_id=i, first_name="f", last_name="l", email=f"e{i}", customer_type="buyer", created_date=d("2023-01-01"))
     t = tables(spark, customers=[customer(i) for i in range(90)])
