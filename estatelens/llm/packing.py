@@ -27,6 +27,9 @@ END_ID = 0
 #: Bytes of units and ids that a task remembers: the first it meets, which
 #: are mostly the frequent ones.  Others are encoded each time.
 MEMORY = 32 << 20
+#: Bytes of texts that are worked on at once: equal units among them are
+#: looked up once.
+TEXT = 8 * CHUNK
 #: What two bytes objects and their place in a dict take besides.
 _ENTRY = 180
 
@@ -132,7 +135,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, longest: int = SEQU
         encoder = Encoder(path or public_tokenizer_path())
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
-        for rows, data, offsets in chunks(batches, limit=2 * CHUNK):
+        for rows, data, offsets in chunks(batches, limit=TEXT):
             texts = pc.fill_null(rows.column(1).cast(pa.large_string()), "")
             ids, n_ids = encoder.chunk(texts, data, offsets)
             first = np.cumsum(n_ids) - n_ids

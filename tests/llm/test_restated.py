@@ -197,3 +197,13 @@ def test_pipeline_of_nothing(spark, tmp_path):
     write(spark, tmp_path, [], ["one two three"])
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.count() == 0 and "input_ids" in out.columns
+
+
+def test_packing_looks_units_up_once_for_megabytes_of_text():
+    import pyarrow as pa
+
+    from estatelens.llm import packing
+    from estatelens.llm.bytesops import chunks
+
+    table = pa.table({"doc_id": list(range(300)), "text": ["ten bytes " * 1000] * 300})
+    assert [rows.num_rows for rows, _, _ in chunks(iter(table.to_batches()), limit=packing.TEXT)] == [300]
