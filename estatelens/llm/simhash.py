@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.bytesops import LOWER, SPACE, chunks, spans
 from estatelens.llm.components import components
-from estatelens.llm.shared import cut, one_of_each, shuffle_partitions, small_or_shuffled
+from estatelens.llm.shared import BROADCAST_BYTES, cut, one_of_each, shuffle_partitions, small_or_shuffled
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -127,7 +127,9 @@ def _refine(long_lists: DataFrame, finer: dict[int, list[int]]) -> DataFrame:
 
 
 def _links(lists: DataFrame, max_bits: int) -> DataFrame:
-    """Links (a, b) that span, in each list, what the verified pairs join."""
+    """Links (a, b) that span, in each list, what the verified pairs join:
+    one from each member of a part to the part's least, so that a part is a
+    star at once and its components take few rounds."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,10 +152,12 @@ def _links(lists: DataFrame, max_bits: int) -> DataFrame:
 
                 for p, q in zip(i.tolist(), j.tolist()):
                     a, b = find(p), find(q)
-                    if a != b:
-                        root[b] = a
-                        out_a.append(int(f[p].view(np.int64)))
-                        out_b.append(int(f[q].view(np.int64)))
+                    root[max(a, b)] = min(a, b)
+                signed = f.view(np.int64).tolist()
+                for p in np.unique([i, j]).tolist():
+                    if (q := find(p)) != p:
+                        out_a.append(signed[p])
+                        out_b.append(signed[q])
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return lists.select("fps").mapInArrow(task, "a long, b long")
@@ -161,8 +165,8 @@ def _links(lists: DataFrame, max_bits: int) -> DataFrame:
 
 def near_links(fps: DataFrame, max_bits: int = MAX_BITS, longest: int = LIST) -> DataFrame:
     """Links between distinct fingerprints (column ``fp``, distinct) at most
-    ``max_bits`` (1 to 3) apart.  Within a list only links that join two of
-    its parts are returned, so components are those of all near pairs."""
+    ``max_bits`` (1 to 3) apart.  Within a list each member of a part is
+    linked to its least, so components are those of all near pairs."""
     if not 1 <= max_bits <= MAX_BITS:
         raise ValueError("the posting families guarantee a shared key for up to 3 bits")
     postings = cut(_post(fps, _longs(FIRST)))
@@ -185,11 +189,13 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, longest: int = LIST) ->
 def _named(nodes: DataFrame, max_bits: int) -> DataFrame:
     """(__fp, least): for each of ``nodes`` (fp, least; fp distinct) the
     smallest ``least`` of its component."""
-    found = components(near_links(nodes.select("fp"), max_bits).distinct())
-    roots = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = roots.groupBy("root").agg(F.min("least").alias("least"))
-    return cut(roots.select("fp", "root").repartition(shuffle_partitions(nodes))
-               .join(cut(named), "root").select(F.col("fp").alias("__fp"), "least"))
+    found = cut(components(near_links(nodes.select("fp"), max_bits)))
+    linked = small_or_shuffled(found, 16)
+    least = linked.join(nodes, F.col("fp") == F.col("node")).groupBy(F.col("root").alias("__root")).agg(F.min("least").alias("__least"))
+    least = F.broadcast(least) if found.count() * 64 <= BROADCAST_BYTES else least.repartition(shuffle_partitions(nodes))
+    named = cut(found.join(least, F.col("root") == F.col("__root")).select("node", "__least"))
+    return (nodes.join(small_or_shuffled(named, 64), F.col("fp") == F.col("node"), "left")
+            .select(F.col("fp").alias("__fp"), F.coalesce("__least", "least").alias("least")))
 
 
 def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,

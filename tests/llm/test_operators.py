@@ -13,8 +13,9 @@ import xxhash
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from estatelens.llm import (chat, decontaminate, exact_dedup, html_extract, language, packing, simhash, substring_dedup,
+from estatelens.llm import (chat, components, decontaminate, exact_dedup, html_extract, language, packing, simhash, substring_dedup,
                             suffix_dedup, url_filter)
+from estatelens.llm.shared import cut
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -129,6 +130,40 @@ def test_near_links_are_complete(spark, longest):
     assert sorted(x["count"] for x in found) == sorted(n for n in groups.values() if n > 1)
 
 
+def test_near_links_name_the_least(spark):
+    """A chain of near fingerprints in one list is a star at once."""
+    chain = [0, 0b111, 0b111111, 0b111111111]
+    links = simhash.near_links(spark.createDataFrame([(x,) for x in chain], "fp long")).distinct().collect()
+    assert sorted((max(x), min(x)) for x in links) == [(x, 0) for x in chain[1:]]
+    tail = [0, 0b1111, 0b10011]  # 0b1111 is only ever the lesser of a pair
+    links = simhash.near_links(spark.createDataFrame([(x,) for x in tail], "fp long")).distinct()
+    assert {tuple(x) for x in simhash.components(links).collect()} == {(x, 0) for x in tail}
+
+
+@pytest.mark.parametrize("broadcast", [0, 16 << 20])
+def test_components_take_few_steps(spark, monkeypatch, broadcast):
+    r = random.Random(3)
+    edges = {(r.randrange(-300, 300), r.randrange(-300, 300)) for _ in range(260)} | {(x, x + 1) for x in range(1000, 1040)}
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    monkeypatch.setattr(components, "BROADCAST_BYTES", broadcast)
+    found = components.components(spark.createDataFrame(list(edges), "a long, b long")).collect()
+    lone = {a for a, b in edges if a == b and sum(a in e for e in edges) == 1}
+    assert Counter(map(tuple, found)) == Counter((x, y) for x, y in root.items() if x not in lone)
+    plans = []
+
+    def counted(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(components, "cut", counted)
+    star = spark.createDataFrame([(x, 0) for x in range(1, 9)], "a long, b long")
+    assert components.components(star).count() == 9
+    assert len(plans) == 3  # one round tells that stars are done
+
+
 def test_decontaminate(spark, docs, rows, empty):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     texts = {r[0]: r[1] for r in rows}
