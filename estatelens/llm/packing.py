@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +26,15 @@ END_ID = 0
 #: Bytes of units and ids that a task remembers: the first it meets, which
 #: are mostly the frequent ones.  Others are encoded each time.
 MEMORY = 32 << 20
+#: Longest unit, in bytes, that is remembered.
+LONGEST = 64
 #: Bytes of texts that are worked on at once: equal units among them are
 #: looked up once.
 TEXT = 8 * CHUNK
-#: What two bytes objects and their place in a dict take besides.
-_ENTRY = 180
+#: Units that are encoded as one text.
+RUN = 512
+#: What a unit takes besides, with its place in the table of a look-up.
+_ENTRY = 64
 
 # White space beyond ASCII, and control characters that some libraries call
 # white space: a text that holds one is tokenised as a whole.
@@ -57,7 +60,8 @@ class Encoder:
     before white space that follows a character that is none, and between an
     ASCII letter or digit and an ASCII mark.  Units between
     such places are encoded once and looked up afterwards; equal results to
-    encoding whole texts are tested."""
+    encoding whole texts are tested.  Units not met before are encoded many
+    at a time, one after the other in a text that splits between them."""
 
     def __init__(self, path: str):
         # a worker has one core: threads of the tokenizer would only wait for each other
@@ -65,46 +69,96 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._known: dict[bytes, bytes] = {}
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._special = [t.content for t in added.values()]
+        # bytes of each id: a byte-level token has a character for a byte
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._bytes = np.ones(max(vocabulary.values(), default=0) + 1, np.int64)
+        self._bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        for i, t in added.items():
+            self._bytes[i] = len(t.content.encode())
+        self._known = pa.array([], pa.binary())
+        self._ids = np.zeros(0, np.uint32)
+        self._size = np.zeros(0, np.int64)
         self._held = 0
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _texts(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _encode(self, units: pa.Array, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after the other, and each unit's count.
+
+        A unit goes on the text of the one before it if a split falls between
+        them and neither is to be ``alone``, unless a special token would
+        come about.  Counts are where a unit's bytes end; if ids do not tell,
+        each unit is a text."""
+        if not len(units):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        offsets = np.frombuffer(units.buffers()[1], np.int32)[units.offset:units.offset + len(units) + 1].astype(np.int64)
+        raw = units.buffers()[2].to_pybytes()
+        data = np.frombuffer(raw, np.uint8)
+        head, tail = data[offsets[1:-1]], data[offsets[1:-1] - 1]
+        goes_on = (SPACE[head] & ~SPACE[tail]) | (_MARK[head] & _ALNUM[tail])
+        goes_on &= ~(alone[1:] | alone[:-1])
+        goes_on[RUN - 1::RUN] = False
+
+        def joined() -> tuple[np.ndarray, list[str]]:
+            first = np.append(np.flatnonzero(np.append(True, ~goes_on)), len(units))
+            cuts = offsets[first].tolist()
+            return first, [raw[a:b].decode() for a, b in zip(cuts, cuts[1:])]
+
+        first, texts = joined()
+        for k, t in enumerate(texts):
+            if any(s in t for s in self._special):
+                goes_on[first[k]:first[k + 1] - 1] = False
+        first, texts = joined()
+        ids = np.concatenate(self._texts(texts))
+        upto = np.concatenate([[0], np.cumsum(self._bytes[ids])])
+        ends = np.searchsorted(upto, offsets - offsets[0])
+        if upto[-1] == offsets[-1] - offsets[0] and (upto[ends] == offsets - offsets[0]).all():
+            return ids, np.diff(ends)
+        goes_on[:] = False
+        found = self._texts(joined()[1])
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
     def chunk(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and each text's count."""
-        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
-        for s in self._special:
-            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        if odd.any():
-            parts = [self.chunk(texts.slice(i, 1), data[offsets[i]:offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]))
-                     if not odd[i] else (lambda w: (w, [len(w)]))(self._whole([texts[i].as_py()])[0]) for i in range(len(texts))]
-            return np.concatenate([p[0] for p in parts]), np.array([p[1][0] for p in parts], np.int64)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        for s in self._special:
+            odd = odd | pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         white = SPACE[data]
         new = np.zeros(len(data), bool)
         new[1:] = (white[1:] & ~white[:-1]) | (_MARK[data[1:]] & _ALNUM[data[:-1]])
+        for i in np.flatnonzero(odd):
+            new[offsets[i]:offsets[i + 1]] = False
         new[offsets[:-1][offsets[:-1] < len(data)]] = True
         begin = np.flatnonzero(new)
         units = pa.Array.from_buffers(pa.binary(), len(begin), [
             None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        words = units.dictionary.to_pylist()
-        pieces = list(map(self._known.get, words))
-        missing = [i for i, p in enumerate(pieces) if p is None]
-        encoded = self._tokenizer.encode_batch_fast([words[i].decode() for i in missing], add_special_tokens=False)
-        for i, e in zip(missing, encoded):
-            pieces[i] = array("I", e.ids).tobytes()
+        words, which = units.dictionary, units.indices.to_numpy()
+        alone = np.zeros(len(words), bool)
+        if odd.any():
+            alone[which[odd[np.searchsorted(offsets, begin, "right") - 1]]] = True
+        at = pc.fill_null(pc.index_in(words, value_set=self._known), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        met = words.take(pa.array(missing))
+        met_ids, met_size = self._encode(met, alone[missing])
+        at[missing] = len(self._size) + np.arange(len(missing))
+        flat, size = np.concatenate([self._ids, met_ids]), np.concatenate([self._size, met_size])
         if self._held < MEMORY:
-            self._known.update((words[i], pieces[i]) for i in missing)
-            self._held += sum(len(words[i]) + len(pieces[i]) + _ENTRY for i in missing)
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        flat = np.frombuffer(b"".join(pieces), np.uint32)
-        which = units.indices.to_numpy()
-        n = size[which]
-        ids = flat[np.repeat((np.cumsum(size) - size)[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            length = pc.binary_length(met).to_numpy(zero_copy_only=False)
+            short = length <= LONGEST
+            kept = met_ids[np.repeat(short, met_size)]
+            self._known = pa.concat_arrays([self._known, met.filter(pa.array(short))])
+            self._ids, self._size = np.concatenate([self._ids, kept]), np.concatenate([self._size, met_size[short]])
+            self._held += int(length[short].sum()) + kept.nbytes + _ENTRY * int(short.sum())
+        spot = at[which]
+        n = size[spot]
         upto = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[spot] - upto[:-1], n) + np.arange(upto[-1])]
         return ids, np.diff(upto[np.searchsorted(begin, offsets)])
 
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Row
@@ -263,6 +264,37 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_encodes_new_units_together(monkeypatch):
+    """Units not met before share texts; ids and counts are those of whole texts."""
+    r = random.Random(8)
+    path = packing.public_tokenizer_path()
+    special = packing.Encoder(path)._special[0]
+    words = ["".join(r.choice("abcXYZ09é日'(.,-<|>") for _ in range(r.randrange(1, 9))) for _ in range(3000)]
+    cut_up = re.split("(?<=[a-z0-9])(?=[^a-z0-9])", special)  # two units that would be the token side by side
+    texts = ["".join(r.choice([" ", "\n", "  ", "\t", ""]) + w for w in r.sample(words, 40)) for _ in range(200)]
+    texts += ["", None, " ", "x \n", "a\u00a0b " + words[0], special, f"x {special} y", " " + words[1] * 30, " ".join(words)]
+    texts += [f"x y{cut_up[0]}", *[f"z {cut_up[0][-1]}{c}" for c in cut_up[1:]]]
+    for run in (1, 2, packing.RUN):
+        monkeypatch.setattr(packing, "RUN", run)
+        encoder, asked = packing.Encoder(path), []
+        tell = encoder._texts
+        monkeypatch.setattr(encoder, "_texts", lambda t: asked.append(len(t)) or tell(t))
+        for _ in range(2):  # the second time nearly all are known
+            a = pa.array(["" if x is None else x for x in texts], pa.large_string())
+            raw = [x.encode() for x in a.to_pylist()]
+            offsets = np.cumsum([0, *map(len, raw)])
+            ids, n = encoder.chunk(a, np.frombuffer(b"".join(raw), np.uint8), offsets)
+            whole = [e.ids for e in encoder._tokenizer.encode_batch_fast(a.to_pylist(), add_special_tokens=False)]
+            assert n.tolist() == [len(w) for w in whole] and ids.tolist() == [i for w in whole for i in w]
+    assert asked[0] < len(encoder._known) / 3 and sum(asked[1:]) <= 10
+    units = pa.array([b" x" + cut_up[0].encode(), *[c.encode() for c in cut_up[1:]], b" y"], pa.binary())
+    ids, n = encoder._encode(units, np.zeros(len(units), bool))
+    apart = [encoder._tokenizer.encode(u.decode(), add_special_tokens=False).ids for u in units.to_pylist()]
+    assert n.tolist() == [len(w) for w in apart] and ids.tolist() == [i for w in apart for i in w]
+    encoder._bytes[:] = 1  # ids do not tell where units end
+    assert [x.tolist() for x in encoder._encode(units, np.zeros(len(units), bool))] == [ids.tolist(), n.tolist()]
+
+
 def test_language(spark, empty):
     r = random.Random(5)
     words = {"en": ["the", "and", "thing", "other", "over"], "fr": ["élan", "que", "les", "eaux", "où"]}
